@@ -9,8 +9,10 @@ missing slots lie between. Only those edge rows are shuffled a second time: the
 hash partitioning of the main rows, and the exchange below it is reused.
 
 The edge rows of a station are ordered in one task: ``back`` or ``ahead`` rows per slot, so
-their number follows the calendar span, not the density of the station. Pick the slot width
-with :func:`slot_seconds_for` when stations report more often than hourly.
+their number follows the calendar span, not the density of the station. Slots of a fixed width
+suit hourly series and need no look at the data. Where stations differ widely in density, use
+``Series(slot_seconds=None)``: then only stations with more than ``rows_per_slot`` rows are cut,
+each by a width measured from its own rows, and sparse ones stay whole.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from hazecast.operators.lookup import lookup
+
 SLOT = "_slot"
 HALO = "_halo"
 DAY = 86_400
@@ -29,7 +33,7 @@ BEGIN, NOW, END = Window.unboundedPreceding, Window.currentRow, Window.unbounded
 
 @dataclass(frozen=True)
 class Series:
-    """Which columns make a series, and how wide its time slots are.
+    """Which columns make a series, and how it is cut into time slots.
 
     ``(key, time)`` must be unique; run :func:`hazecast.operators.append.keep_first` first
     where it may not be.
@@ -37,11 +41,11 @@ class Series:
 
     key: str = "city"
     time: str = "date"
-    slot_seconds: int = 365 * DAY
+    slot_seconds: int | None = 365 * DAY
+    rows_per_slot: int = 1_000_000
 
-    def slot(self) -> Column:
-        micros = F.unix_micros(F.col(self.time).cast("timestamp"))
-        return F.floor(micros / F.lit(self.slot_seconds * 1_000_000)).cast("long")
+    def micros(self) -> Column:
+        return F.unix_micros(F.col(self.time).cast("timestamp"))
 
     def in_slot(self, reverse: bool = False) -> WindowSpec:
         return Window.partitionBy(self.key, SLOT).orderBy(self._order(reverse))
@@ -60,24 +64,40 @@ class Series:
         return time.desc() if reverse else time.asc()
 
 
-def slot_seconds_for(df: DataFrame, series: Series, rows_per_slot: int = 1_000_000) -> int:
-    """Slot width at which the densest station puts about ``rows_per_slot`` rows in a slot."""
-    seconds = F.unix_seconds(F.col(series.time).cast("timestamp"))
-    per_key = df.groupBy(series.key).agg(
-        F.count("*").alias("n"), (F.max(seconds) - F.min(seconds) + 1).alias("span")
-    )
-    densest = per_key.agg(F.max(F.col("n") / F.col("span"))).first()[0]
-    if not densest:
-        return series.slot_seconds
-    return max(1, int(rows_per_slot / densest))
-
-
 def is_laid_out(df: DataFrame) -> bool:
     return SLOT in df.columns
 
 
 def with_slot(df: DataFrame, series: Series) -> DataFrame:
-    return df if is_laid_out(df) else df.withColumn(SLOT, series.slot())
+    """Add the slot column.
+
+    A row without station or time has no place in any series and is left out. Saying so here
+    also keeps the exchange of :func:`lay_out` the same on both sides of a join on (station,
+    slot), where Spark would otherwise add the filter to one side only and could not reuse the
+    shuffled rows.
+    """
+    if is_laid_out(df):
+        return df
+    placed = df.where(F.col(series.key).isNotNull() & F.col(series.time).isNotNull())
+    if series.slot_seconds is not None:
+        width = F.lit(series.slot_seconds * 1_000_000)
+        return placed.withColumn(SLOT, F.floor(series.micros() / width).cast("long"))
+    widths = _widths_of_large_stations(placed, series)
+    cut = lookup(placed, widths, [series.key], spread=[series.time])
+    slot = F.coalesce(F.floor(series.micros() / F.col("_width")).cast("long"), F.lit(0).cast("long"))
+    return cut.withColumn(SLOT, slot).drop("_width")
+
+
+def _widths_of_large_stations(df: DataFrame, series: Series) -> DataFrame:
+    """Slot width in microseconds of every station that has more than ``rows_per_slot`` rows."""
+    sizes = df.groupBy(series.key).agg(
+        F.count("*").alias("_rows"),
+        F.min(series.micros()).alias("_first"),
+        F.max(series.micros()).alias("_last"),
+    )
+    share = F.lit(float(series.rows_per_slot)) / F.col("_rows")
+    width = F.greatest(F.lit(1).cast("long"), F.ceil((F.col("_last") - F.col("_first")) * share))
+    return sizes.where(F.col("_rows") > series.rows_per_slot).select(series.key, width.alias("_width"))
 
 
 def lay_out(df: DataFrame, series: Series) -> DataFrame:
@@ -142,14 +162,14 @@ def _halo(base: DataFrame, series: Series, reach: int, reverse: bool) -> DataFra
 
 
 def slot_totals(df: DataFrame, series: Series, means: list[str] | None = None) -> DataFrame:
-    """One row per (station, slot): rows before it, rows in the station, station means.
+    """One row per (station, slot) of a slotted frame: rows before it, station rows and means.
 
     Aggregates on the map side before any shuffle; the running sums go over one row per slot.
     """
     means = means or []
     sums = [F.sum(c).alias(f"_sum_{c}") for c in means]
     counts = [F.count(c).alias(f"_cnt_{c}") for c in means]
-    per_slot = with_slot(df, series).groupBy(series.key, SLOT).agg(
+    per_slot = df.groupBy(series.key, SLOT).agg(
         F.count("*").alias("_rows"), *sums, *counts
     )
     before = F.sum("_rows").over(series.over_slots().rowsBetween(BEGIN, -1))
@@ -168,7 +188,9 @@ def slot_totals(df: DataFrame, series: Series, means: list[str] | None = None) -
 
 def row_positions(df: DataFrame, series: Series, means: list[str] | None = None) -> DataFrame:
     """Add ``_pos`` (0-based row number in the station), ``_n`` (its rows), ``_mean_*``."""
-    totals = slot_totals(df, series, means)
-    placed = lay_out(df, series).join(totals, [series.key, SLOT], "left")
+    slotted = with_slot(df, series)
+    totals = slot_totals(slotted, series, means)
+    base = df if is_laid_out(df) else slotted.repartition(series.key, SLOT)
+    placed = base.join(totals, [series.key, SLOT], "left")
     rank = F.row_number().over(series.in_slot())
     return placed.withColumn("_pos", F.col("_start") + rank - 1).drop("_start")

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from hazecast.functions.columns import nan_to_null
+from hazecast.operators import lookup as lookup_module
 from hazecast.operators import windows
-from hazecast.operators.layout import DAY, Series, row_positions, slot_seconds_for
+from hazecast.operators.layout import DAY, Series, row_positions, with_slot
 from hazecast.schemas import MEMORY, READINGS
 
 LENGTHS = {"a": 400, "b": 49, "c": 48, "d": 47, "e": 24, "f": 23, "g": 1}
@@ -147,8 +148,19 @@ def test_main_rows_are_shuffled_once(spark):
     assert "Window" in plan and "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
 
 
-def test_slot_width_follows_the_densest_station(spark):
-    df = spark.range(1000).select(
-        F.lit("x").alias("city"), F.timestamp_seconds(F.col("id") * 10).alias("date")
-    )
-    assert 900 <= slot_seconds_for(df, Series(), rows_per_slot=100) <= 1000
+def test_only_large_stations_are_cut(spark):
+    df = to_spark(spark, random_series(15))
+    series = Series(slot_seconds=None, rows_per_slot=60)
+    slots = with_slot(df, series).groupBy("city").agg(F.countDistinct("_slot")).collect()
+    counts = dict(map(tuple, slots))
+    assert 6 <= counts.pop("a") <= 9
+    assert set(counts.values()) == {1}
+    got = windows.station_features(df, series, nulls="ffill_drop").toPandas()
+    compare(got, expected_features(random_series(15), "ffill_drop"), MEMORY)
+
+
+def test_measured_slots_beyond_the_broadcast_bound(spark, monkeypatch):
+    monkeypatch.setattr(lookup_module, "fits_broadcast", lambda *a: False)
+    df = to_spark(spark, random_series(16))
+    got = windows.station_features(df, Series(slot_seconds=None, rows_per_slot=60)).toPandas()
+    compare(got, expected_features(random_series(16), "drop"), MEMORY)
