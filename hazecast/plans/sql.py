@@ -95,5 +95,5 @@ def rounded_std(prefix: str = "") -> str:
     """All feature columns, the rolling deviation rounded."""
     kept = ["date", *READINGS, "city", "hour", "day_of_week", "month", *MEMORY]
     return ", ".join(
-        f"round({prefix}{c}, 6) AS {c}" if c == "aqi_rolling_24_std" else f"{prefix}{c}" for c in kept
+        f"round({prefix}{c}, 4) AS {c}" if c == "aqi_rolling_24_std" else f"{prefix}{c}" for c in kept
     )
