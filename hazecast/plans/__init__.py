@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from hazecast.plans import features
+from hazecast.plans import analysis, features
 from hazecast.plans.registry import QUERIES
 
-__all__ = ["QUERIES", "features"]
+__all__ = ["QUERIES", "analysis", "features"]
