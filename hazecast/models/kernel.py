@@ -8,9 +8,11 @@ system per (station, fold) is solved. Approximate by design: it does not equal a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +26,7 @@ from hazecast.session import settle
 COST, GAMMA, EPSILON = 100.0, 0.1, 0.1
 COMPONENTS = 512
 ROUNDS = 10
+BATCH_ROWS = 10_000
 CLOSEST = 1e-3  # residuals beyond the tube count as at least this large in the weights
 
 
@@ -45,9 +48,16 @@ def _scaled(rows: pd.DataFrame, features: list[str], model) -> np.ndarray:
     return (x - np.asarray(model.means)) / np.asarray(model.scales)
 
 
-def _per_slot(rows: DataFrame, models: DataFrame, series: Series) -> DataFrame:
-    """Model rows of a station, once for each slot it has rows in."""
-    return rows.select(series.key, SLOT).distinct().join(models, series.key)
+def _batches(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Pieces small enough that their Fourier features fit in memory."""
+    return (rows.iloc[at : at + BATCH_ROWS] for at in range(0, len(rows), BATCH_ROWS))
+
+
+def _per_slot(rows: DataFrame, models: DataFrame, series: Series) -> GroupedData:
+    """Model rows of a station, once for each slot it has rows in, grouped by slot."""
+    slots = rows.select(F.col(series.key).alias("_station"), F.col(SLOT).alias("_at")).distinct()
+    named = models.withColumnRenamed(series.key, "_station")
+    return slots.join(named, "_station").groupBy("_station", "_at")
 
 
 def fit_kernel(
@@ -97,17 +107,19 @@ def fit_kernel(
             used = rows if model.fold == REFIT else rows[rows["block"] < model.fold]
             if used.empty:
                 continue
-            waves = fourier_features(_scaled(used, features, model), basis)
-            y = used[target].to_numpy(dtype=float)
-            if model.weights is None:
-                weight, goal = np.full(len(y), cost), y
-            else:
-                residual = y - waves @ np.asarray(model.weights)
-                beyond = np.abs(residual) - epsilon
-                weight = np.where(beyond > 0, cost / np.maximum(beyond, CLOSEST), 0.0)
-                goal = y - np.sign(residual) * epsilon
-            gram = waves.T @ (waves * weight[:, None])
-            right = waves.T @ (weight * goal)
+            gram, right = np.zeros((size, size)), np.zeros(size)
+            for part in _batches(used):
+                waves = fourier_features(_scaled(part, features, model), basis)
+                y = part[target].to_numpy(dtype=float)
+                if model.weights is None:
+                    weight, goal = np.full(len(y), cost), y
+                else:
+                    residual = y - waves @ np.asarray(model.weights)
+                    beyond = np.abs(residual) - epsilon
+                    weight = np.where(beyond > 0, cost / np.maximum(beyond, CLOSEST), 0.0)
+                    goal = y - np.sign(residual) * epsilon
+                gram += waves.T @ (waves * weight[:, None])
+                right += waves.T @ (weight * goal)
             for i in range(size):
                 out.append((model.fold, i, np.append(gram[i, i:], right[i])))
         frame = pd.DataFrame(out, columns=["fold", "i", "sums"])
@@ -128,10 +140,9 @@ def fit_kernel(
         )
 
     for _ in range(rounds):
-        current = _per_slot(blocked, models, series)
         parts = (
             blocked.groupBy(key, SLOT)
-            .cogroup(current.groupBy(key, SLOT))
+            .cogroup(_per_slot(blocked, models, series))
             .applyInPandas(partial_sums, part_schema)
         )
         cells = (
@@ -171,14 +182,19 @@ def score_kernel(
             chosen = known & (part[on_fold] == model.fold).to_numpy() if on_fold else known
             if chosen.any():
                 basis = fourier_basis(len(features), model.components, model.gamma, model.seed)
-                waves = fourier_features(_scaled(part[chosen], features, model), basis)
-                predicted[chosen] = waves @ np.asarray(model.weights)
+                weights = np.asarray(model.weights)
+                predicted[chosen] = np.concatenate(
+                    [
+                        fourier_features(_scaled(rows, features, model), basis) @ weights
+                        for rows in _batches(part[chosen])
+                    ]
+                )
         part[name] = pd.array(predicted, dtype="Float64")
         return part
 
     scored = (
         rows.groupBy(key, SLOT)
-        .cogroup(_per_slot(rows, wanted, series).groupBy(key, SLOT))
+        .cogroup(_per_slot(rows, wanted, series))
         .applyInPandas(predict, schema)
     )
     return scored.withColumn(name, F.nanvl(name, F.lit(None).cast("double")))

@@ -15,6 +15,7 @@ from hazecast.sources.tables import series_days
 HOURS = Series(slot_seconds=7 * DAY)  # a week of hours per slot
 DAYS = Series(slot_seconds=365 * DAY)
 TICKS = Series(slot_seconds=None, rows_per_slot=50_000)
+LARGE_SLOTS = Series(slot_seconds=None, rows_per_slot=200_000)
 HORIZON = 72
 
 FEATURED_DAYS = f"SELECT *, {FEATURES_SQL} FROM series_days"
