@@ -76,7 +76,8 @@ def fit_kernel(
 ) -> DataFrame:
     """One row per (station, fold): scaler, basis parameters, weights; fold 0 is the refit."""
     key, size = series.key, components + 1
-    complete = df.select(key, series.time, *features, target).dropna()
+    # read once per round, so stored first
+    complete = settle(lay_out(df.select(key, series.time, *features, target).dropna(), series))
     scalers = fit_ridge(complete, features, target, series, splits=splits)
     models = settle(
         scalers.select(
@@ -85,7 +86,7 @@ def fit_kernel(
             F.lit(None).cast("array<double>").alias("weights"),
         )
     )
-    blocked = settle(with_blocks(lay_out(complete, series), series, splits))
+    blocked = settle(with_blocks(complete, series, splits))
     key_field = df.schema[key]
     part_schema = T.StructType(
         [

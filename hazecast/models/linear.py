@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from hazecast.models.evaluate import regression_metrics
 from hazecast.models.folds import SPLITS, with_blocks
-from hazecast.operators.layout import Series, lift
+from hazecast.operators.layout import SLOT, Series, is_laid_out, lift
 from hazecast.operators.lookup import lookup
 from hazecast.schemas import FEATURES, TARGET
 from hazecast.session import settle
@@ -49,7 +49,8 @@ def block_sums(
     Columns are centred by the station mean first, which keeps the sums well conditioned.
     """
     columns = [*features, target]
-    complete = df.select(series.key, series.time, *columns).dropna()
+    layout = [SLOT] if is_laid_out(df) else []
+    complete = df.select(series.key, series.time, *layout, *columns).dropna()
     blocked = with_blocks(complete, series, splits, means=columns)
     z = [F.col(c) - F.col(f"_mean_{c}") for c in columns]
     blocked = blocked.withColumns({f"_z_{i}": z[i] for i in range(len(columns))})
@@ -183,7 +184,7 @@ def cross_validated_ridge(
     splits: int = SPLITS,
     scaled: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
-    """Model table and metrics per (station, model, fold)."""
+    """Model table and metrics per (station, model, fold). Reads ``df`` twice: pass a stored table."""
     models = settle(fit_ridge(df, features, target, series, alpha=alpha, splits=splits, scaled=scaled))
     complete = df.select(series.key, series.time, *features, target).dropna()
     tests = lift(with_blocks(complete, series, splits)).where(F.col("block") > 0)

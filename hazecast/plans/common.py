@@ -10,6 +10,7 @@ from hazecast.operators.windows import station_features
 from hazecast.plans.sql import FEATURES as FEATURES_SQL
 from hazecast.plans.sql import not_null
 from hazecast.schemas import FEATURES, POLLUTANTS, TARGET
+from hazecast.session import settle
 from hazecast.sources.tables import series_days
 
 HOURS = Series(slot_seconds=7 * DAY)  # a week of hours per slot
@@ -33,6 +34,11 @@ def complete_days(spark: SparkSession, folder: str) -> DataFrame:
     return station_features(series_days(spark, folder), DAYS)
 
 
+def stored_days(spark: SparkSession, folder: str) -> DataFrame:
+    """The same table computed once, for fits that read it several times."""
+    return settle(complete_days(spark, folder))
+
+
 def predicted_days(spark: SparkSession, folder: str) -> DataFrame:
     """Persistence forecasts standing in for the three models."""
     return complete_days(spark, folder).select(

@@ -9,7 +9,15 @@ from hazecast.models.evaluate import cv_average
 from hazecast.models.folds import with_holdout, with_random_split
 from hazecast.operators import frames
 from hazecast.plans.analysis import BLOCK_SQL
-from hazecast.plans.common import DAYS, DAY_VIEWS, LARGE_SLOTS, complete_days, history_and_forecast, rounded
+from hazecast.plans.common import (
+    DAYS,
+    DAY_VIEWS,
+    LARGE_SLOTS,
+    complete_days,
+    history_and_forecast,
+    rounded,
+    stored_days,
+)
 from hazecast.plans.registry import query
 from hazecast.plans.sql import with_series
 from hazecast.schemas import FEATURES, TARGET
@@ -71,8 +79,11 @@ FROM moments
 }
 
 
-def pair_models(spark, folder):
-    return settle(linear.fit_ridge(complete_days(spark, folder), PAIR, TARGET, DAYS))
+def _scored_by_refit(spark, folder):
+    """Complete rows and the refitted two-feature model of every city."""
+    features = stored_days(spark, folder)
+    models = settle(linear.fit_ridge(features, PAIR, TARGET, DAYS))
+    return features, models.where(F.col("fold") == linear.REFIT)
 
 
 @query(
@@ -98,8 +109,8 @@ def ridge_two_features(spark, folder):
     )
 )
 def linear_score_join(spark, folder):
-    refit = pair_models(spark, folder).where(F.col("fold") == linear.REFIT)
-    scored = linear.score_linear(complete_days(spark, folder), refit, PAIR, DAYS)
+    features, refit = _scored_by_refit(spark, folder)
+    scored = linear.score_linear(features, refit, PAIR, DAYS)
     return rounded(scored.select("date", "city", "ridge_pred"), {"ridge_pred": 4})
 
 
@@ -114,7 +125,7 @@ def linear_score_join(spark, folder):
     ).replace("SELECT s.city, fold,", "SELECT s.city, cast(fold AS int) AS fold,", 1)
 )
 def ridge_cross_validation(spark, folder):
-    _, metrics = linear.cross_validated_ridge(complete_days(spark, folder), PAIR, TARGET, DAYS)
+    _, metrics = linear.cross_validated_ridge(stored_days(spark, folder), PAIR, TARGET, DAYS)
     return rounded(metrics, {"rmse": 4, "mae": 4, "r2": 4})
 
 
@@ -127,8 +138,8 @@ PHI_SQL = " UNION ALL ".join(
 
 
 def _phis(spark, folder):
-    refit = pair_models(spark, folder).where(F.col("fold") == linear.REFIT)
-    return linear.linear_attribution(complete_days(spark, folder), refit, PAIR, DAYS)
+    features, refit = _scored_by_refit(spark, folder)
+    return linear.linear_attribution(features, refit, PAIR, DAYS)
 
 
 @query(
@@ -161,13 +172,13 @@ def ridge_all_features(spark, folder):
 
 @query()
 def ridge_cv_averages(spark, folder):
-    _, metrics = linear.cross_validated_ridge(complete_days(spark, folder), FEATURES, TARGET, DAYS)
+    _, metrics = linear.cross_validated_ridge(stored_days(spark, folder), FEATURES, TARGET, DAYS)
     return cv_average(metrics)
 
 
 def _ridge_forecast(spark, folder):
     history, ahead = history_and_forecast(spark, folder)
-    features = complete_days(spark, folder)
+    features = stored_days(spark, folder)
     models = settle(linear.fit_ridge(features, PAIR, TARGET, DAYS))
     return features, models, frames.forecast_frame(history, ahead, DAYS)
 
@@ -200,16 +211,15 @@ def forecast_scoring(spark, folder):
     )
 )
 def latest_row_scoring(spark, folder):
-    features = complete_days(spark, folder)
-    models = settle(linear.fit_ridge(features, PAIR, TARGET, DAYS))
-    return rounded(score.latest_forecast(features, DAYS, ridge=models, features=PAIR), {"ridge_pred": 4})
+    features, refit = _scored_by_refit(spark, folder)
+    return rounded(score.latest_forecast(features, DAYS, ridge=refit, features=PAIR), {"ridge_pred": 4})
 
 
 @query()
 def forest_forecast(spark, folder):
     """Random forest of every city, fitted on its whole history, on the forecast frame."""
     features, _, frame = _ridge_forecast(spark, folder)
-    forest = trees.fit_trees(settle(features), trees.random_forest(depth=8), FEATURES, TARGET, DAYS)
+    forest = trees.fit_trees(features, trees.random_forest(depth=8), FEATURES, TARGET, DAYS)
     return score.forecasts(frame, forest=forest, series=DAYS)
 
 
@@ -217,7 +227,7 @@ def forest_forecast(spark, folder):
 def tree_fit_metrics(spark, folder):
     """Cross-validation of a single decision tree."""
     _, metrics = trees.cross_validated_trees(
-        complete_days(spark, folder), trees.decision_tree(depth=6), FEATURES, TARGET, DAYS, model="tree"
+        stored_days(spark, folder), trees.decision_tree(depth=6), FEATURES, TARGET, DAYS, model="tree"
     )
     return cv_average(metrics)
 
@@ -225,7 +235,7 @@ def tree_fit_metrics(spark, folder):
 @query()
 def kernel_cv_averages(spark, folder):
     _, metrics = kernel.cross_validated_kernel(
-        complete_days(spark, folder), FEATURES, TARGET, LARGE_SLOTS, components=128, rounds=3
+        stored_days(spark, folder), FEATURES, TARGET, LARGE_SLOTS, components=128, rounds=3
     )
     return cv_average(metrics)
 
