@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from hazecast.operators.append import chunk_features, newer_rows
+from hazecast.operators.append import chunk_features, keep_first, newer_rows
 from hazecast.operators.frames import CONTEXT_ROWS, last_rows
 from hazecast.operators.layout import Series
 from hazecast.schemas import RAW_HOURS, READINGS
 
 SEED_BATCH = -1
+ARRIVAL = "_arrival"
 
 
 class FeatureStore:
@@ -38,6 +39,8 @@ class FeatureStore:
         """Add the features of the arrived raw hours that are newer than the stored ones."""
         tail = self._tail_before(batch)
         fresh = newer_rows(tail, arrived, self.series)
+        if ARRIVAL in fresh.columns:
+            fresh = keep_first(fresh, ARRIVAL, self.series).drop(ARRIVAL)
         featured = chunk_features(
             fresh, self.series, nulls="ffill_drop", history=tail.select(*fresh.columns)
         ).persist()
@@ -66,22 +69,24 @@ def append_stream(
     checkpoint: str,
     *,
     schema: T.StructType = RAW_HOURS,
-    late: str = "2 days",
+    late: str | None = None,
     once: bool = False,
 ) -> StreamingQuery:
     """Follow a folder of Parquet files with raw hours.
 
-    Hours already seen within the lateness are dropped before they reach the store; ``once``
-    takes what is there and stops.
+    The store itself refuses hours at or below a station's newest one, and takes the first copy
+    of an hour by arrival, so no stream state is needed and a station may lag behind the others.
+    With ``late``, for instance ``2 days``, a watermark over all stations additionally drops
+    rows that far behind the newest hour of any station, and duplicates within that span.
+    ``once`` takes what is there and stops.
     """
     series = store.series
-    arriving = (
-        store.spark.readStream.schema(schema)
-        .parquet(incoming)
-        .withWatermark(series.time, late)
-        .dropDuplicatesWithinWatermark([series.key, series.time])
-        .select(series.time, *READINGS, series.key)
-    )
+    arriving = store.spark.readStream.schema(schema).parquet(incoming)
+    arrival = F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.row_index")
+    arriving = arriving.select(series.time, *READINGS, series.key, arrival.alias(ARRIVAL))
+    if late:
+        arriving = arriving.withWatermark(series.time, late)
+        arriving = arriving.dropDuplicatesWithinWatermark([series.key, series.time])
     writer = arriving.writeStream.foreachBatch(lambda df, batch: store.append(df, batch))
     writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 hour")).start()
