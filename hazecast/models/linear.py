@@ -46,7 +46,9 @@ def block_sums(
 ) -> DataFrame:
     """Per (station, block): rows, sums and sums of products of the centred columns.
 
-    Columns are centred by the station mean first, which keeps the sums well conditioned.
+    Columns are centred by the station mean first, which keeps the sums well conditioned. With
+    many features, raise ``spark.sql.codegen.maxFields`` above the number of sums, so that they
+    stay inside whole-stage code.
     """
     columns = [*features, target]
     layout = [SLOT] if is_laid_out(df) else []
@@ -57,7 +59,7 @@ def block_sums(
     k = len(columns)
     sums = [F.sum(f"_z_{i}") for i in range(k)]
     products = [F.sum(F.col(f"_z_{i}") * F.col(f"_z_{j}")) for i in range(k) for j in range(i, k)]
-    centres = [F.first(f"_mean_{c}") for c in columns]
+    centres = [F.max(f"_mean_{c}") for c in columns]  # the same on every row of a station
     return blocked.groupBy(series.key, "block").agg(
         F.count("*").alias("rows"),
         F.array(*centres).alias("centres"),
@@ -153,6 +155,7 @@ def score_linear(
     *,
     on: list[str] | None = None,
     name: str = "ridge_pred",
+    stored: bool = False,
 ) -> DataFrame:
     """Add the prediction of the station's model; a missing feature or model gives null.
 
@@ -162,7 +165,7 @@ def score_linear(
     parts = models.select(
         *on, "intercept", F.col("coefs").alias("_c"), F.col("means").alias("_m"), F.col("scales").alias("_s")
     ).withColumnRenamed("intercept", "_b")
-    joined = lookup(df, parts, on, spread=[series.time])
+    joined = lookup(df, parts, on, spread=[series.time], stored=stored)
     prediction = F.col("_b")
     for j, c in enumerate(features):
         prediction = prediction + F.col("_c")[j] * (F.col(c) - F.col("_m")[j]) / F.col("_s")[j]
@@ -189,7 +192,7 @@ def cross_validated_ridge(
     complete = df.select(series.key, series.time, *features, target).dropna()
     tests = lift(with_blocks(complete, series, splits)).where(F.col("block") > 0)
     folds = models.where(F.col("fold") != REFIT).withColumnRenamed("fold", "block")
-    scored = score_linear(tests, folds, features, series, on=[series.key, "block"], name="pred")
+    scored = score_linear(tests, folds, features, series, on=[series.key, "block"], name="pred", stored=True)
     scored = scored.withColumns({"model": F.lit("ridge"), "fold": F.col("block")})
     return models, regression_metrics(scored, [series.key, "model", "fold"], target=target)
 

@@ -27,6 +27,7 @@ from hazecast.operators.lookup import lookup
 
 SLOT = "_slot"
 HALO = "_halo"
+WHOLE = -(2**62)  # slot of a station that is not cut
 DAY = 86_400
 BEGIN, NOW, END = Window.unboundedPreceding, Window.currentRow, Window.unboundedFollowing
 
@@ -84,7 +85,7 @@ def with_slot(df: DataFrame, series: Series) -> DataFrame:
         return placed.withColumn(SLOT, F.floor(series.micros() / width).cast("long"))
     widths = _widths_of_large_stations(placed, series)
     cut = lookup(placed, widths, [series.key], spread=[series.time])
-    slot = F.coalesce(F.floor(series.micros() / F.col("_width")).cast("long"), F.lit(0).cast("long"))
+    slot = F.coalesce(F.floor(series.micros() / F.col("_width")).cast("long"), F.lit(WHOLE))
     return cut.withColumn(SLOT, slot).drop("_width")
 
 
@@ -145,7 +146,8 @@ def _halo(base: DataFrame, series: Series, reach: int, reverse: bool) -> DataFra
     ``reach`` are the true ones.
     """
     edges = (
-        base.withColumn("_rank", F.row_number().over(series.in_slot(not reverse)))
+        base.where(F.col(SLOT) != WHOLE)
+        .withColumn("_rank", F.row_number().over(series.in_slot(not reverse)))
         .where(F.col("_rank") <= reach)
         .drop("_rank")
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazecast.session import settle
+
 BROADCAST_ROWS = 50_000
 SALTS = 64
 
@@ -17,21 +19,23 @@ def lookup(
     how: str = "left",
     spread: list[str] | None = None,
     max_rows: int = BROADCAST_ROWS,
+    stored: bool = False,
 ) -> DataFrame:
     """Attach the columns of ``small`` (one row per ``on``) to every row of ``df``.
 
-    Up to ``max_rows`` rows, counted before the join, ``small`` is broadcast. The count reads
-    only the key columns, so Catalyst drops the aggregates of ``small`` from it. Beyond that
-    both sides are shuffled with a salt taken from the ``spread`` columns, which divides the
-    rows of one hot key over ``SALTS`` tasks; ``small`` is copied once per salt.
+    ``small`` is computed once and kept in the shared folder, unless the caller says it is
+    ``stored`` already. Up to ``max_rows`` rows, counted there, it is broadcast. Beyond that both
+    sides are shuffled with a salt taken from the ``spread`` columns, which divides the rows of
+    one hot key over ``SALTS`` tasks; ``small`` is copied once per salt.
     """
-    if fits_broadcast(small, on, max_rows):
+    small = small if stored else settle(small)
+    if fits_broadcast(small, max_rows):
         return df.join(F.broadcast(small), on, how)
     return salted_join(df, small, on, how=how, spread=spread)
 
 
-def fits_broadcast(small: DataFrame, on: list[str], max_rows: int = BROADCAST_ROWS) -> bool:
-    return small.select(*on).limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    return small.limit(max_rows + 1).count() <= max_rows
 
 
 def salted_join(

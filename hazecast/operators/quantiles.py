@@ -1,8 +1,10 @@
 """Exact interpolated quantiles per group, without gathering a group in one task.
 
-A mergeable sketch first gives, for every wanted quantile, a narrow band of values certain to
-contain it. A second pass counts the values below each band, and collects, as (value, count)
-pairs, only the values inside. The quantile is then read off the running counts of the band.
+A first pass counts every group and takes a mergeable sketch of it, which gives, for every wanted
+quantile, a narrow band of values certain to contain it. A second pass counts the values below
+each band, and collects, as (value, count) pairs, only the values inside. The quantile is then
+read off the running counts of the band. Groups of at most ``accuracy`` rows need no band: their
+values fit into the built-in exact aggregate, which rides along in the second pass.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 
 from hazecast.operators.layout import BEGIN, NOW
 from hazecast.operators.lookup import lookup
+from hazecast.session import settle
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -26,44 +29,45 @@ def quantiles(
     approximate: bool = False,
     spread: list[str] | None = None,
 ) -> DataFrame:
-    """Rows (by..., column, q, value), linearly interpolated between order statistics."""
+    """Rows (by..., column, q, value), linearly interpolated between order statistics.
+
+    Reads ``df`` three times: pass a stored table.
+    """
     if approximate:
         return _approximate(df, columns, by, probabilities, accuracy)
     bands = _bands(df, columns, by, probabilities, accuracy)
     banded = lookup(df.select(*by, *columns, *_extra(spread, by, columns)), bands, by, how="inner", spread=spread)
-
-    below = banded.groupBy(*by).agg(
-        *[
-            F.count_if(F.col(c) < F.col(f"_lo_{i}_{j}")).alias(f"_below_{i}_{j}")
-            for i, c in enumerate(columns)
-            for j in range(len(probabilities))
-        ],
-        *[F.count(c).alias(f"_n_{i}") for i, c in enumerate(columns)],
+    places = [(i, j) for i in range(len(columns)) for j in range(len(probabilities))]
+
+    passed = settle(
+        banded.groupBy(*by).agg(
+            *[F.count_if(F.col(columns[i]) < F.col(f"_lo_{i}_{j}")).alias(f"_below_{i}_{j}") for i, j in places],
+            *[F.count(c).alias(f"_n_{i}") for i, c in enumerate(columns)],
+            *[
+                F.percentile(F.when(F.col(f"_short_{i}"), F.col(c)), list(probabilities)).alias(f"_exact_{i}")
+                for i, c in enumerate(columns)
+            ],
+        )
     )
     ranks = _long(
-        below, by, columns, probabilities, lambda i, j: {"below": f"_below_{i}_{j}", "n": f"_n_{i}"}
+        passed,
+        by,
+        columns,
+        probabilities,
+        lambda i, j: {"below": F.col(f"_below_{i}_{j}"), "n": F.col(f"_n_{i}"), "exact": F.col(f"_exact_{i}")[j]},
     )
-    inside = banded.select(
-        *by,
-        F.explode(
-            F.array_compact(
-                F.array(
-                    *[
-                        F.when(
-                            F.col(c).between(F.col(f"_lo_{i}_{j}"), F.col(f"_hi_{i}_{j}")),
-                            F.struct(
-                                F.lit(c).alias("column"),
-                                F.lit(p).alias("q"),
-                                F.col(c).cast("double").alias("value"),
-                            ),
-                        )
-                        for i, c in enumerate(columns)
-                        for j, p in enumerate(probabilities)
-                    ]
-                )
-            )
-        ).alias("_hit"),
-    ).select(*by, "_hit.*")
+    hits = [
+        F.when(
+            ~F.col(f"_short_{i}") & F.col(columns[i]).between(F.col(f"_lo_{i}_{j}"), F.col(f"_hi_{i}_{j}")),
+            F.struct(
+                F.lit(columns[i]).alias("column"),
+                F.lit(probabilities[j]).alias("q"),
+                F.col(columns[i]).cast("double").alias("value"),
+            ),
+        )
+        for i, j in places
+    ]
+    inside = banded.select(*by, F.explode(F.array_compact(F.array(*hits))).alias("_hit")).select(*by, "_hit.*")
     counted = inside.groupBy(*by, "column", "q", "value").agg(F.count("*").alias("copies"))
     running = Window.partitionBy(*by, "column", "q").orderBy("value").rowsBetween(BEGIN, NOW)
     placed = counted.withColumn("upto", F.sum("copies").over(running)).join(ranks, [*by, "column", "q"])
@@ -74,12 +78,10 @@ def quantiles(
         F.min(F.when(F.col("upto") > F.floor(position) - F.col("below"), F.col("value"))).alias("lower"),
         F.min(F.when(F.col("upto") > F.ceil(position) - F.col("below"), F.col("value"))).alias("upper"),
     )
-    return picked.select(
-        *by,
-        "column",
-        "q",
-        (F.col("lower") + (F.col("upper") - F.col("lower")) * (position - F.floor(position))).alias("value"),
-    )
+    between = F.col("lower") + (F.col("upper") - F.col("lower")) * (position - F.floor(position))
+    long_groups = picked.select(*by, "column", "q", between.alias("value"))
+    short_groups = ranks.where(F.col("exact").isNotNull()).select(*by, "column", "q", F.col("exact").alias("value"))
+    return long_groups.unionByName(short_groups)
 
 
 def _extra(spread: list[str] | None, by: list[str], columns: list[str]) -> list[str]:
@@ -87,45 +89,39 @@ def _extra(spread: list[str] | None, by: list[str], columns: list[str]) -> list[
 
 
 def _bands(df, columns, by, probabilities, accuracy) -> DataFrame:
-    """Per column and quantile the bounds of its band, one row per group.
+    """Per group and column whether it is short, and the bounds of the band of every quantile.
 
     The sketch errs by at most one part in ``accuracy`` of the rows; the band adds three more
-    on either side. Groups of at most ``accuracy`` rows take the whole range as their band.
+    on either side.
     """
     margin = 4.0 / accuracy
-    lows = [max(0.0, p - margin) for p in probabilities]
-    highs = [min(1.0, p + margin) for p in probabilities]
+    wanted = [max(0.0, p - margin) for p in probabilities] + [min(1.0, p + margin) for p in probabilities]
     sketches = df.groupBy(*by).agg(
-        *[F.percentile_approx(c, lows + highs, accuracy).alias(f"_s_{i}") for i, c in enumerate(columns)],
-        *[F.min(c).alias(f"_min_{i}") for i, c in enumerate(columns)],
-        *[F.max(c).alias(f"_max_{i}") for i, c in enumerate(columns)],
+        *[F.percentile_approx(c, wanted, accuracy).alias(f"_s_{i}") for i, c in enumerate(columns)],
         *[F.count(c).alias(f"_cnt_{i}") for i, c in enumerate(columns)],
     )
     k = len(probabilities)
     bounds = []
     for i in range(len(columns)):
-        short = F.col(f"_cnt_{i}") <= accuracy
+        bounds.append((F.col(f"_cnt_{i}") <= accuracy).alias(f"_short_{i}"))
         for j in range(k):
-            low = F.when(short, F.col(f"_min_{i}")).otherwise(F.col(f"_s_{i}")[j])
-            high = F.when(short, F.col(f"_max_{i}")).otherwise(F.col(f"_s_{i}")[k + j])
-            bounds += [low.alias(f"_lo_{i}_{j}"), high.alias(f"_hi_{i}_{j}")]
+            bounds.append(F.col(f"_s_{i}")[j].alias(f"_lo_{i}_{j}"))
+            bounds.append(F.col(f"_s_{i}")[k + j].alias(f"_hi_{i}_{j}"))
     return sketches.select(*by, *bounds)
 
 
 def _long(wide, by, columns, probabilities, parts) -> DataFrame:
-    """One row per column and quantile out of a wide table."""
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.lit(p).alias("q"),
-                *[F.col(source).alias(name) for name, source in parts(i, j).items()],
-            )
-            for i, c in enumerate(columns)
-            for j, p in enumerate(probabilities)
-        ]
-    )
-    return wide.select(*by, F.explode(rows).alias("_row")).select(*by, "_row.*")
+    """One row per group, column and quantile out of a wide table."""
+    rows = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.lit(p).alias("q"),
+            *[value.alias(name) for name, value in parts(i, j).items()],
+        )
+        for i, c in enumerate(columns)
+        for j, p in enumerate(probabilities)
+    ]
+    return wide.select(*by, F.explode(F.array(*rows)).alias("_row")).select(*by, "_row.*")
 
 
 def _approximate(df, columns, by, probabilities, accuracy) -> DataFrame:
@@ -135,15 +131,6 @@ def _approximate(df, columns, by, probabilities, accuracy) -> DataFrame:
             for i, c in enumerate(columns)
         ]
     )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.lit(p).alias("q"),
-                F.col(f"_s_{i}")[j].cast("double").alias("value"),
-            )
-            for i, c in enumerate(columns)
-            for j, p in enumerate(probabilities)
-        ]
+    return _long(
+        sketches, by, columns, probabilities, lambda i, j: {"value": F.col(f"_s_{i}")[j].cast("double")}
     )
-    return sketches.select(*by, F.explode(rows).alias("_row")).select(*by, "_row.*")

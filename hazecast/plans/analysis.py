@@ -14,6 +14,7 @@ from hazecast.plans.common import DAYS, DAY_VIEWS, PREDICTION_VIEWS, complete_da
 from hazecast.plans.registry import query
 from hazecast.plans.sql import not_null, with_series
 from hazecast.schemas import POLLUTANTS, PREDICTIONS, READINGS, TARGET
+from hazecast.session import settle
 from hazecast.sources.tables import (
     CITY_CODES,
     CITY_COORDINATES,
@@ -109,7 +110,7 @@ CODE_NAMES = "CASE l_linenumber % 4 " + " ".join(
 def city_code_lookup(spark, folder):
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
     coded = lines.withColumn("city", F.col("l_linenumber") % 4)
-    named = lookup(coded, city_codes(spark), ["city"], spread=["l_orderkey"])
+    named = lookup(coded, city_codes(spark), ["city"], spread=["l_orderkey"], stored=True)
     return named.select("l_orderkey", "l_linenumber", "city_name")
 
 
@@ -125,7 +126,7 @@ def _coordinate_sql(i: int) -> str:
 )
 def city_coordinates(spark, folder):
     hours = station_hours(spark, folder).select("date", "city")
-    return lookup(hours, city_dimension(spark), ["city"], spread=["date"])
+    return lookup(hours, city_dimension(spark), ["city"], spread=["date"], stored=True)
 
 
 @query(
@@ -183,17 +184,17 @@ MOMENTS = {"mean": 4, "std": 4}
 
 @query(_describe_sql(READINGS, "station_hours"))
 def describe_readings(spark, folder):
-    return rounded(stats.describe(station_hours(spark, folder), READINGS), MOMENTS)
+    return rounded(stats.describe(settle(station_hours(spark, folder)), READINGS), MOMENTS)
 
 
 @query(_describe_sql([TARGET, "pm10", "uv_index"], "shipment_ticks"))
 def describe_ticks(spark, folder):
-    return rounded(stats.describe(shipment_ticks(spark, folder), [TARGET, "pm10", "uv_index"]), MOMENTS)
+    return rounded(stats.describe(settle(shipment_ticks(spark, folder)), [TARGET, "pm10", "uv_index"]), MOMENTS)
 
 
 @query(_describe_sql(["random_forest_pred", "svr_pred"], "predicted", **PREDICTION_VIEWS))
 def describe_predictions(spark, folder):
-    return rounded(stats.describe(predicted_days(spark, folder), ["random_forest_pred", "svr_pred"]), MOMENTS)
+    return rounded(stats.describe(settle(predicted_days(spark, folder)), ["random_forest_pred", "svr_pred"]), MOMENTS)
 
 
 def _histogram_sql(column: str, source: str, **views: str) -> str:
@@ -232,7 +233,7 @@ def prediction_histogram(spark, folder):
     )
 )
 def index_box(spark, folder):
-    return stats.box_summary(shipment_ticks(spark, folder), TARGET)
+    return stats.box_summary(settle(shipment_ticks(spark, folder).select("city", TARGET)), TARGET)
 
 
 def _correlation_sql(columns: list[str], source: str, **views: str) -> str:

@@ -11,7 +11,7 @@ from hazecast.models.evaluate import cv_average
 from hazecast.operators.layout import lift, row_positions
 from hazecast.operators.windows import station_features
 from hazecast.plans.analysis import AVERAGES, METRIC_VIEWS, ROUNDED_AVERAGES, AVERAGE_DIGITS, fold_metrics_frame
-from hazecast.plans.common import DAYS, rounded
+from hazecast.plans.common import DAYS, TICKS, rounded
 from hazecast.plans.features import ALL, STD
 from hazecast.plans.registry import query
 from hazecast.plans.sql import FEATURES, not_null, rounded_std, with_series
@@ -75,15 +75,15 @@ def json_payload_rows(spark, folder):
 def csv_round_trip(spark, folder):
     path = new_folder(spark, "csv")
     ticks = shipment_ticks(spark, folder)
-    files.write_csv(ticks.withColumn("date", F.col("date").cast("timestamp")), path)
+    files.write_csv(ticks.withColumn("date", F.col("date").cast("timestamp")), path, TICKS, folders=False)
     return _naive(files.read_csv(spark, path, RAW_HOURS)).select("date", *READINGS, "city")
 
 
-@query(with_series("SELECT date, us_aqi, city FROM shipment_ticks WHERE city = 'hub'"))
+@query(with_series("SELECT date, us_aqi, city FROM series_days WHERE city = 'Lahore'"))
 def parquet_station_pruned(spark, folder):
     path = new_folder(spark, "parquet")
-    files.write_parquet(shipment_ticks(spark, folder), path)
-    return spark.read.parquet(path).where(F.col("city") == "hub").select("date", "us_aqi", "city")
+    files.write_parquet(series_days(spark, folder), path, DAYS)
+    return spark.read.parquet(path).where(F.col("city") == "Lahore").select("date", "us_aqi", "city")
 
 
 @query(with_series(f"SELECT {ROUNDED_AVERAGES} FROM averages", **METRIC_VIEWS, averages=AVERAGES))

@@ -18,6 +18,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.codegen.maxFields", "400")  # sums of products of all feature pairs
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )

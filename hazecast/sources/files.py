@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import types as T
 
 from hazecast.operators.layout import Series, lay_out, lift
@@ -17,20 +17,27 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return reader.option("timestampFormat", "yyyy-MM-dd HH:mm:ss[XXX]").csv(path)
 
 
-def write_csv(df: DataFrame, path: str, series: Series = Series()) -> None:
-    """Overwrite; one folder per station, rows in time order inside each file."""
-    writer = _by_station(df, series).write.mode("overwrite").option("header", True)
-    writer.option("timestampFormat", CSV_TIME).partitionBy(series.key).csv(path)
+def write_csv(df: DataFrame, path: str, series: Series = Series(), *, folders: bool = True) -> None:
+    """Overwrite; rows in station and time order inside each file."""
+    writer = _by_station(df, series, folders).mode("overwrite").option("header", True)
+    writer.option("timestampFormat", CSV_TIME).csv(path)
 
 
-def write_parquet(df: DataFrame, path: str, series: Series = Series(), mode: str = "overwrite") -> None:
-    """Columnar store of the same shape; filters on the station prune folders."""
-    _by_station(df, series).write.mode(mode).partitionBy(series.key).parquet(path)
+def write_parquet(
+    df: DataFrame, path: str, series: Series = Series(), *, folders: bool = True, mode: str = "overwrite"
+) -> None:
+    """Columnar store of the same shape.
 
+    With ``folders`` a filter on the station prunes folders, which suits up to some thousands of
+    stations; without, it prunes row groups by their station range.
+    """
+    _by_station(df, series, folders).mode(mode).parquet(path)
 
-def _by_station(df: DataFrame, series: Series) -> DataFrame:
-    """Rows gathered by (station, slot): one file per slot, and no task holds a whole station."""
-    return lift(lay_out(df, series)).sortWithinPartitions(series.key, series.time)
+
+def _by_station(df: DataFrame, series: Series, folders: bool) -> DataFrameWriter:
+    """Rows gathered by (station, slot): few files, and no task holds a whole hot station."""
+    rows = lift(lay_out(df, series)).sortWithinPartitions(series.key, series.time)
+    return rows.write.partitionBy(series.key) if folders else rows.write
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:

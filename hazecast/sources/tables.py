@@ -23,7 +23,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _cents(column: str) -> Column:
-    return F.round(F.col(column) * 100).cast("bigint")
+    """Whole cents of a non-negative amount; ``round`` on doubles would go through decimals."""
+    return F.floor(F.col(column) * 100 + 0.5)
 
 
 def _mean_floor(value: Column, rows: Column | None = None) -> Column:
