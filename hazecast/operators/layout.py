@@ -195,4 +195,5 @@ def row_positions(df: DataFrame, series: Series, means: list[str] | None = None)
     base = df if is_laid_out(df) else slotted.repartition(series.key, SLOT)
     placed = base.join(totals, [series.key, SLOT], "left")
     rank = F.row_number().over(series.in_slot())
-    return placed.withColumn("_pos", F.col("_start") + rank - 1).drop("_start")
+    added = [F.col(f"_mean_{c}") for c in means or []]
+    return placed.select(*base.columns, (F.col("_start") + rank - 1).alias("_pos"), "_n", *added)

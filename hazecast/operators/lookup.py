@@ -29,9 +29,12 @@ def lookup(
     one hot key over ``SALTS`` tasks; ``small`` is copied once per salt.
     """
     small = small if stored else settle(small)
+    columns = df.columns + [c for c in small.columns if c not in on]
     if fits_broadcast(small, max_rows):
-        return df.join(F.broadcast(small), on, how)
-    return salted_join(df, small, on, how=how, spread=spread)
+        joined = df.join(F.broadcast(small), on, how)
+    else:
+        joined = salted_join(df, small, on, how=how, spread=spread)
+    return joined.select(*columns)
 
 
 def fits_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:

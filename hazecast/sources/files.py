@@ -12,8 +12,11 @@ CSV_TIME = "yyyy-MM-dd HH:mm:ssXXX"
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header row. Columns of ``partitionBy`` come from the folder names."""
-    reader = spark.read.schema(schema).option("header", True)
+    """CSV with a header row, which must name the columns of the schema in order.
+
+    Columns of ``partitionBy`` come from the folder names.
+    """
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
     return reader.option("timestampFormat", "yyyy-MM-dd HH:mm:ss[XXX]").csv(path)
 
 

@@ -119,6 +119,8 @@ def test_salted_join_gives_the_same_rows(spark):
     plain = lookup(df, small, ["city"])
     salted = salted_join(df, small, ["city"], spread=["id"])
     assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, salted.collect()), key=str)
+    assert plain.columns == ["city", "id", "n"]
+    assert lookup(df.select("id", "city"), small, ["city"]).columns == ["id", "city", "n"]
     assert salted.count() == 5000 and salted.where("n is null").count() == 1
 
 
