@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazecast.operators.layout import Series
+from hazecast.operators.lookup import lookup
+from hazecast.session import settle
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -48,13 +50,17 @@ def sampled_shapley(
         F.max("_draw").over(size).alias("_drawn"),
         F.array(*[F.col(c).cast("double") for c in features]).alias("_base"),
     )
+    sample = settle(sample)
     sizes = sample.groupBy(key).agg(F.max("_drawn").alias("_drawn"))
 
     tried = rows.select(key, time, F.array(*[F.col(c).cast("double") for c in features]).alias("_x"))
+    tried = lookup(tried, sizes, [key], how="inner", spread=[time])
     tried = tried.withColumn("_try", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
     chance = F.xxhash64(F.lit(seed), key, time, "_try")
-    tried = tried.join(sizes, key).withColumn("_draw", F.pmod(chance, F.col("_drawn")))
-    tried = tried.join(sample.drop("_drawn"), [key, "_draw"])
+    tried = tried.withColumn("_draw", F.pmod(chance, F.col("_drawn"))).drop("_drawn")
+    tried = lookup(
+        tried, sample.drop("_drawn"), [key, "_draw"], how="inner", spread=[time, "_try"], stored=True
+    )
     order = F.array_sort(
         F.array(*[F.struct(F.xxhash64(F.lit(seed), key, time, "_try", F.lit(j)), F.lit(j).alias("j")) for j in range(p)])
     )

@@ -21,7 +21,7 @@ from hazecast.models.evaluate import regression_metrics
 from hazecast.models.folds import SPLITS, with_blocks
 from hazecast.operators.layout import Series
 from hazecast.schemas import FEATURES, TARGET
-from hazecast.session import settle
+from hazecast.sources.files import station_table
 
 VECTOR = "_features"
 
@@ -63,7 +63,8 @@ def fit_trees(
 ) -> dict:
     """Fitted model of every station on all of its complete rows.
 
-    Write the feature table partitioned by station, or persist it, before fitting many of them.
+    With many stations pass a table with one folder per station, as
+    :func:`hazecast.sources.files.station_table` stores it, so that no job reads the others.
     """
     rows = vectorized(df.select(series.key, *features, F.col(target).alias("label")).dropna(), features)
 
@@ -111,7 +112,7 @@ def cross_validated_trees(
 ) -> tuple[dict, DataFrame]:
     """Refitted model of every station, and metrics per (station, model, fold)."""
     complete = df.select(series.key, series.time, *features, target).dropna()
-    blocked = settle(with_blocks(complete, series, splits))
+    blocked = station_table(with_blocks(complete, series, splits), series)
     names = list(stations(blocked.where(F.col("block") == splits), series))
     metrics = []
     for fold in range(1, splits + 1):

@@ -21,7 +21,8 @@ from hazecast.plans.common import (
 from hazecast.plans.registry import query
 from hazecast.plans.sql import with_series
 from hazecast.schemas import FEATURES, TARGET
-from hazecast.session import settle
+from hazecast.session import new_folder, settle
+from hazecast.sources import files
 from hazecast.sources.tables import series_days
 
 PAIR = ["pm10", "aqi_lag_24"]
@@ -215,12 +216,32 @@ def latest_row_scoring(spark, folder):
     return rounded(score.latest_forecast(features, DAYS, ridge=refit, features=PAIR), {"ridge_pred": 4})
 
 
+@query(
+    with_series(
+        "SELECT date, c.city, round(y + w1 * (pm10 - m1) / s1 + w2 * (aqi_lag_24 - m2) / s2, 4) AS ridge_pred "
+        "FROM complete AS c JOIN ridge ON c.city = ridge.city WHERE fold = 0",
+        **RIDGE_VIEWS,
+    )
+)
+def stored_model_scoring(spark, folder):
+    """Refit written to storage, read back with its feature list, and applied."""
+    features, refit = _scored_by_refit(spark, folder)
+    path = new_folder(spark, "models")
+    files.write_models(refit, path)
+    models = files.read_models(spark, path)
+    scored = linear.score_linear(features, models, linear.stored_features(models), DAYS)
+    return rounded(scored.select("date", "city", "ridge_pred"), {"ridge_pred": 4})
+
+
 @query()
 def forest_forecast(spark, folder):
-    """Random forest of every city, fitted on its whole history, on the forecast frame."""
-    features, _, frame = _ridge_forecast(spark, folder)
+    """Forest and ridge of every city, fitted on its whole history, on the forecast frame."""
+    history, ahead = history_and_forecast(spark, folder)
+    features = files.station_table(complete_days(spark, folder), DAYS)
+    frame = frames.forecast_frame(history, ahead, DAYS)
     forest = trees.fit_trees(features, trees.random_forest(depth=8), FEATURES, TARGET, DAYS)
-    return score.forecasts(frame, forest=forest, series=DAYS)
+    ridge = settle(linear.fit_ridge(features, FEATURES, TARGET, DAYS))
+    return score.forecasts(settle(frame), forest=forest, ridge=ridge, series=DAYS)
 
 
 @query()
@@ -242,11 +263,13 @@ def kernel_cv_averages(spark, folder):
 
 @query()
 def sampled_shapley(spark, folder):
-    """Sampled attribution of the ridge model on the forecast frame; any scorer fits in."""
-    features, models, frame = _ridge_forecast(spark, folder)
-    refit = models.where(F.col("fold") == linear.REFIT)
+    """Sampled attribution of a forest on the forecast frame."""
+    history, ahead = history_and_forecast(spark, folder)
+    features = files.station_table(complete_days(spark, folder), DAYS)
+    frame = frames.forecast_frame(history, ahead, DAYS)
+    forest = trees.fit_trees(features, trees.random_forest(trees=20, depth=6), PAIR, TARGET, DAYS)
 
     def scorer(df):
-        return linear.score_linear(df, refit, PAIR, DAYS, name="pred")
+        return trees.score_trees(df, forest, PAIR, DAYS, name="pred")
 
-    return attribution.sampled_shapley(frame, features, PAIR, scorer, DAYS, model="ridge", permutations=8)
+    return attribution.sampled_shapley(frame, features, PAIR, scorer, DAYS, permutations=8)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +14,7 @@ from hazecast.plans.features import ALL, STD
 from hazecast.plans.registry import query
 from hazecast.plans.sql import FEATURES, not_null, rounded_std, with_series
 from hazecast.schemas import RAW_HOURS, READINGS
-from hazecast.session import shared_dir
+from hazecast.session import new_folder
 from hazecast.sources import files, payloads
 from hazecast.sources.tables import series_days, shipment_ticks
 from hazecast.streaming.append import FeatureStore, append_stream
@@ -24,10 +22,6 @@ from hazecast.streaming.append import FeatureStore, append_stream
 DAY_SECONDS = 86_400
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def _yearly_payloads(spark: SparkSession, folder: str) -> DataFrame:
     """One payload per city and year: at most 366 daily values per array."""
     days = series_days(spark, folder).withColumn("year", F.year("date"))

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from hazecast.operators.layout import Series, lay_out, lift
 from hazecast.schemas import CV_METRICS
+from hazecast.session import new_folder
 
 CSV_TIME = "yyyy-MM-dd HH:mm:ssXXX"
 
@@ -43,6 +44,25 @@ def _by_station(df: DataFrame, series: Series, folders: bool) -> DataFrameWriter
     return rows.write.partitionBy(series.key) if folders else rows.write
 
 
+def station_table(df: DataFrame, series: Series = Series()) -> DataFrame:
+    """The rows stored once below the shared folder, one folder per station.
+
+    Jobs that each take one station then read that station's rows only.
+    """
+    path = new_folder(df.sparkSession, "stations")
+    write_parquet(df, path, series)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def write_models(models: DataFrame, path: str) -> None:
+    """Coefficient table of a linear or kernel fit, with the feature names it was fitted on."""
+    models.write.mode("overwrite").parquet(path)
+
+
+def read_models(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """One JSON object per station and model, in their folders."""
     metrics.write.mode("overwrite").partitionBy("city", "model").json(path)
