@@ -106,10 +106,14 @@ def box_summary(df: DataFrame, column: str = TARGET, key: str = "city") -> DataF
 def correlations(df: DataFrame, columns: list[str], key: str = "city") -> DataFrame:
     """Pearson correlation of every pair of columns over the rows where both are known.
 
-    One aggregation computes each unordered pair once; the mirror images are added after it.
+    Null where it is undefined: fewer than two rows, or a constant column. One aggregation
+    computes each unordered pair once; the mirror images are added after it.
     """
     pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    wide = df.groupBy(key).agg(*[F.corr(columns[i], columns[j]).alias(f"_r_{i}_{j}") for i, j in pairs])
+    undefined = F.lit(None).cast("double")
+    wide = df.groupBy(key).agg(
+        *[F.nanvl(F.corr(columns[i], columns[j]), undefined).alias(f"_r_{i}_{j}") for i, j in pairs]
+    )
 
     def entry(x: int, y: int):
         return F.struct(

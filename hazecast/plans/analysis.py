@@ -242,7 +242,8 @@ def _correlation_sql(columns: list[str], source: str, **views: str) -> str:
         for x in columns
         for y in columns
     )
-    return with_series(cells, **views)
+    defined = f"SELECT city, x, y, CASE WHEN NOT isnan(r) THEN r END AS r FROM ({cells})"
+    return with_series(defined, **views)
 
 
 @query(_correlation_sql(READINGS, "station_hours"))
