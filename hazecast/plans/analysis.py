@@ -10,7 +10,15 @@ from hazecast.models.folds import with_blocks
 from hazecast.operators import stats
 from hazecast.operators.layout import lift
 from hazecast.operators.lookup import lookup
-from hazecast.plans.common import DAYS, DAY_VIEWS, PREDICTION_VIEWS, complete_days, predicted_days, rounded
+from hazecast.plans.common import (
+    DAYS,
+    DAY_VIEWS,
+    PREDICTION_VIEWS,
+    complete_days,
+    predicted_days,
+    rounded,
+    stored_ticks,
+)
 from hazecast.plans.registry import query
 from hazecast.plans.sql import not_null, with_series
 from hazecast.schemas import POLLUTANTS, PREDICTIONS, READINGS, TARGET
@@ -189,7 +197,7 @@ def describe_readings(spark, folder):
 
 @query(_describe_sql([TARGET, "pm10", "uv_index"], "shipment_ticks"))
 def describe_ticks(spark, folder):
-    return rounded(stats.describe(settle(shipment_ticks(spark, folder)), [TARGET, "pm10", "uv_index"]), MOMENTS)
+    return rounded(stats.describe(stored_ticks(spark, folder, TARGET, "pm10", "uv_index"), [TARGET, "pm10", "uv_index"]), MOMENTS)
 
 
 @query(_describe_sql(["random_forest_pred", "svr_pred"], "predicted", **PREDICTION_VIEWS))
@@ -213,7 +221,7 @@ def _histogram_sql(column: str, source: str, **views: str) -> str:
 
 @query(_histogram_sql(TARGET, "shipment_ticks"))
 def index_histogram(spark, folder):
-    return stats.histogram(shipment_ticks(spark, folder), TARGET)
+    return stats.histogram(stored_ticks(spark, folder, TARGET), TARGET)
 
 
 @query(_histogram_sql("svr_pred", "predicted", **PREDICTION_VIEWS))
@@ -233,7 +241,7 @@ def prediction_histogram(spark, folder):
     )
 )
 def index_box(spark, folder):
-    return stats.box_summary(settle(shipment_ticks(spark, folder).select("city", TARGET)), TARGET)
+    return stats.box_summary(stored_ticks(spark, folder, TARGET), TARGET)
 
 
 def _correlation_sql(columns: list[str], source: str, **views: str) -> str:

@@ -11,7 +11,7 @@ from hazecast.plans.sql import FEATURES as FEATURES_SQL
 from hazecast.plans.sql import not_null
 from hazecast.schemas import FEATURES, POLLUTANTS, TARGET
 from hazecast.session import settle
-from hazecast.sources.tables import series_days
+from hazecast.sources.tables import series_days, shipment_ticks
 
 HOURS = Series(slot_seconds=7 * DAY)  # a week of hours per slot
 DAYS = Series(slot_seconds=365 * DAY)
@@ -39,6 +39,12 @@ def stored_days(spark: SparkSession, folder: str) -> DataFrame:
     return settle(complete_days(spark, folder))
 
 
+def stored_ticks(spark: SparkSession, folder: str, *readings: str) -> DataFrame:
+    """The tick series, or some of its readings, computed once for queries that read it again."""
+    ticks = shipment_ticks(spark, folder)
+    return settle(ticks.select("date", "city", *readings) if readings else ticks)
+
+
 def predicted_days(spark: SparkSession, folder: str) -> DataFrame:
     """Persistence forecasts standing in for the three models."""
     return complete_days(spark, folder).select(

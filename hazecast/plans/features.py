@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from hazecast.functions.columns import calendar_columns, date_columns
 from hazecast.operators import append, frames, windows
 from hazecast.operators.layout import lift, row_positions
-from hazecast.plans.common import DAYS, HOURS, TICKS, history_and_forecast, rounded
+from hazecast.plans.common import DAYS, HOURS, TICKS, history_and_forecast, rounded, stored_ticks
 from hazecast.plans.registry import query
 from hazecast.plans.sql import FEATURES, FRAME, W, not_null, rounded_std, with_series
 from hazecast.schemas import CALENDAR, MEMORY, POLLUTANTS, READINGS, TARGET
@@ -36,7 +36,7 @@ def daily_feature_table(spark, folder):
 
 @query(_features_sql("shipment_ticks"))
 def tick_feature_table(spark, folder):
-    return rounded(windows.station_features(shipment_ticks(spark, folder), TICKS), STD)
+    return rounded(windows.station_features(stored_ticks(spark, folder), TICKS), STD)
 
 
 FILLED = [*READINGS, *MEMORY]
@@ -63,7 +63,7 @@ def station_feature_table_filled(spark, folder):
     )
 )
 def lag_rows(spark, folder):
-    df = windows.with_lags(shipment_ticks(spark, folder), {"aqi_lag_24": 24, "aqi_lag_48": 48}, TICKS)
+    df = windows.with_lags(stored_ticks(spark, folder, TARGET), {"aqi_lag_24": 24, "aqi_lag_48": 48}, TICKS)
     return df.select("date", "city", TARGET, "aqi_lag_24", "aqi_lag_48")
 
 
@@ -118,7 +118,7 @@ def rolling_statistics(spark, folder):
 )
 def relative_change_rows(spark, folder):
     made = {"aqi_change_rate": windows.memory_columns()["aqi_change_rate"]}
-    df = windows.over_series(shipment_ticks(spark, folder), made, TICKS, back=24)
+    df = windows.over_series(stored_ticks(spark, folder, TARGET), made, TICKS, back=24)
     return df.select("date", "city", "aqi_change_rate")
 
 
