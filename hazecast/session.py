@@ -46,8 +46,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """Fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """Fresh path below the shared folder, deleted when the driver's JVM ends."""
+    folder = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
+
+
+def stored(df: DataFrame, name: str, *partitions: str) -> DataFrame:
+    """Write a large derived table once as Parquet below the shared folder, and read it back."""
+    folder = new_folder(df.sparkSession, name)
+    df.write.partitionBy(*partitions).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def settle(df: DataFrame) -> DataFrame:
