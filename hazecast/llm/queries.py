@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hazecast.llm import byte_bpe
+from hazecast.llm import byte_bpe, simhash
 from hazecast.llm.common import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.digests(table(spark, folder, "documents"), vocabulary)
 
 
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"), width=3, max_distance=2)
+
+
 QUERIES: dict[str, tuple[Build, str | None]] = {
     "op1_byte_bpe": (op1_byte_bpe, None),
+    "op5_simhash": (op5_simhash, None),
 }
