@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hazecast.llm import byte_bpe, simhash
+from hazecast.llm import byte_bpe, repeats, simhash
 from hazecast.llm.common import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +25,13 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), width=3, max_distance=2)
 
 
+def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    clean = repeats.removed_repeats(table(spark, folder, "documents"), length=400)
+    return clean.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 QUERIES: dict[str, tuple[Build, str | None]] = {
     "op1_byte_bpe": (op1_byte_bpe, None),
     "op5_simhash": (op5_simhash, None),
+    "op9_repeats": (op9_repeats, None),
 }
