@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazecast.llm import byte_bpe, repeats, simhash
+from hazecast.llm import byte_bpe, quality, repeats, simhash, token_counts
 from hazecast.llm.common import table
+from hazecast.session import new_folder
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -30,8 +31,20 @@ def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return clean.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
 
 
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """With a cache of its own, so that a run never depends on earlier ones."""
+    tokenizer = token_counts.Tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    return token_counts.token_counts(table(spark, folder, "documents"), tokenizer, new_folder(spark, "token-counts"))
+
+
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judged(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, tuple[Build, str | None]] = {
     "op1_byte_bpe": (op1_byte_bpe, None),
     "op5_simhash": (op5_simhash, None),
+    "op8_token_counts": (op8_token_counts, None),
     "op9_repeats": (op9_repeats, None),
+    "op10_quality": (op10_quality, None),
 }
