@@ -27,15 +27,21 @@ SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\r\x0b\x0c"
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
-#: Metric: (value, least range that counts as spread, whether small values fail too).
+#: Metric: (dividend, divisor, least range that counts as spread, whether small values fail too).
 METRICS = {
-    "word_length": (F.col("word_chars") / F.col("n_words"), 0.5, True),
-    "symbol_ratio": (F.col("n_symbols") / F.col("n_words"), 0.05, False),
-    "dup_line_ratio": (F.col("n_dup_lines") / F.col("n_lines"), 0.1, False),
-    "repeat_ratio": (F.col("n_repeat_words") / F.col("n_words"), 0.05, False),
+    "word_length": ("word_chars", "n_words", 0.5, True),
+    "symbol_ratio": ("n_symbols", "n_words", 0.05, False),
+    "dup_line_ratio": ("n_dup_lines", "n_lines", 0.1, False),
+    "repeat_ratio": ("n_repeat_words", "n_words", 0.05, False),
 }
 
 
+def _value(metric: str) -> Column:
+    """Null where the text has nothing to divide by."""
+    above, below, _, _ = METRICS[metric]
+    return F.when(F.col(below) > 0, F.col(above) / F.col(below))
+
+
 def _repeat_words(words: list[bytes]) -> int:
     """Words that stand in a window which occurs twice or more."""
     windows = list(zip(*(words[i:] for i in range(WINDOW)), strict=False))
@@ -80,7 +86,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def sketches(stats: DataFrame, error: float = ERROR) -> DataFrame:
     """(lang, source, metric, bin, n): mergeable sketches of the metrics; bin null holds the zeros."""
-    values = [F.struct(F.lit(m).alias("metric"), v.alias("value")) for m, (v, _, _) in METRICS.items()]
+    values = [F.struct(F.lit(m).alias("metric"), _value(m).alias("value")) for m in METRICS]
     long = stats.select("lang", "source", F.explode(F.array(*values)).alias("m")).select("lang", "source", "m.*")
     base = math.log((1 + error) / (1 - error))
     place = F.when(F.col("value") > 0, F.ceil(F.log("value") / base))
@@ -103,7 +109,7 @@ def _fences(sketch: DataFrame, by: list[str], error: float, reach: float, least:
         quantile(0.25).alias("q1"), quantile(0.75).alias("q3"), F.first("all").alias("all")
     )
     spread = F.lit(None).cast("double")
-    for metric, (_, floor, _) in METRICS.items():
+    for metric, (_, _, floor, _) in METRICS.items():
         spread = F.when(F.col("metric") == metric, F.greatest(F.col("q3") - F.col("q1"), F.lit(floor))).otherwise(spread)
     fences = F.struct((F.col("q1") - reach * spread).alias("low"), (F.col("q3") + reach * spread).alias("high"))
     sure = quartiles.where(F.col("all") >= least) if by else quartiles
@@ -135,8 +141,8 @@ def judged(docs: DataFrame, error: float = ERROR, reach: float = REACH, least: i
     fences = thresholds(fit, error, reach, least).withColumnsRenamed({"lang": "_l", "source": "_s"})
     same = F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s"))
     broken = []
-    for metric, (value, _, both) in METRICS.items():
-        fence = F.col("fences")[metric]
+    for metric, (_, _, _, both) in METRICS.items():
+        value, fence = _value(metric), F.col("fences")[metric]
         out = value > fence.high
         broken.append(F.when((out | (value < fence.low)) if both else out, F.lit(metric)))
     outside = F.array_compact(F.array(*broken))

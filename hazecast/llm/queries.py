@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazecast.llm import byte_bpe, quality, repeats, simhash, token_counts
+from hazecast.llm import byte_bpe, mixing, quality, repeats, simhash, token_counts
 from hazecast.llm.common import table
 from hazecast.session import new_folder
 
@@ -22,6 +22,10 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.digests(table(spark, folder, "documents"), vocabulary)
 
 
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken_words(table(spark, folder, "documents"), weights=(5.0, 2.0, 1.0), most=3.0)
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), width=3, max_distance=2)
 
@@ -41,8 +45,39 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(table(spark, folder, "documents"))
 
 
+OP3_SQL = """
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight
+  FROM sized GROUP BY source
+), levels AS (
+  SELECT 0.0::DOUBLE AS level, NULL::DOUBLE AS last
+  UNION ALL
+  SELECT greatest(level, (SELECT sum(source_size)::DOUBLE
+                                 - coalesce(sum(source_size * 3.0::DOUBLE) FILTER (source_size * 3.0 <= level * weight), 0)
+                          FROM sources)
+                  / (SELECT sum(weight) FROM sources WHERE source_size * 3.0 > level * weight)), level
+  FROM levels
+  WHERE (last IS NULL OR level > last) AND EXISTS (SELECT 1 FROM sources WHERE source_size * 3.0 > level * weight)
+), targets AS (
+  SELECT source, source_size, least(source_size * 3.0::DOUBLE, (SELECT max(level) FROM levels) * weight) AS target,
+         ('0x' || substr(md5('7 ' || coalesce(source, '')), 1, 8))::UBIGINT::DOUBLE / 4294967296.0::DOUBLE AS begin
+  FROM sources
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY size, doc_id) AS k FROM sized
+)
+SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM (
+  SELECT r.doc_id, r.size, t.source_size, t.target,
+         (floor(begin + rate * k) - floor(begin + rate * (k - 1)))::BIGINT AS copies
+  FROM ranked r JOIN (SELECT *, CASE WHEN source_size > 0 THEN least(target / source_size, 3.0::DOUBLE) ELSE 0 END AS rate FROM targets) t
+    ON r.source IS NOT DISTINCT FROM t.source)
+"""
+
 QUERIES: dict[str, tuple[Build, str | None]] = {
     "op1_byte_bpe": (op1_byte_bpe, None),
+    "op3_mixing": (op3_mixing, OP3_SQL),
     "op5_simhash": (op5_simhash, None),
     "op8_token_counts": (op8_token_counts, None),
     "op9_repeats": (op9_repeats, None),
