@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazecast.llm import byte_bpe, mixing, quality, repeats, simhash, token_counts
+from hazecast.llm import byte_bpe, language, mixing, quality, repeats, simhash, token_counts
 from hazecast.llm.common import table
 from hazecast.session import new_folder
 
@@ -35,6 +35,11 @@ def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return clean.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
 
 
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return language.identified(docs, language.fit(docs))
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """With a cache of its own, so that a run never depends on earlier ones."""
     tokenizer = token_counts.Tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
@@ -79,6 +84,7 @@ QUERIES: dict[str, tuple[Build, str | None]] = {
     "op1_byte_bpe": (op1_byte_bpe, None),
     "op3_mixing": (op3_mixing, OP3_SQL),
     "op5_simhash": (op5_simhash, None),
+    "op6_language": (op6_language, None),
     "op8_token_counts": (op8_token_counts, None),
     "op9_repeats": (op9_repeats, None),
     "op10_quality": (op10_quality, None),
