@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazecast.llm import byte_bpe, language, mixing, quality, repeats, simhash, token_counts
+from hazecast.llm import byte_bpe, language, mixing, quality, repeats, simhash, token_counts, toxicity
 from hazecast.llm.common import table
 from hazecast.session import new_folder
 
@@ -26,6 +26,11 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken_words(table(spark, folder, "documents"), weights=(5.0, 2.0, 1.0), most=3.0)
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), width=3, max_distance=2)
 
@@ -83,6 +88,7 @@ SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM (
 QUERIES: dict[str, tuple[Build, str | None]] = {
     "op1_byte_bpe": (op1_byte_bpe, None),
     "op3_mixing": (op3_mixing, OP3_SQL),
+    "op4_toxicity": (op4_toxicity, None),
     "op5_simhash": (op5_simhash, None),
     "op6_language": (op6_language, None),
     "op8_token_counts": (op8_token_counts, None),
