@@ -33,7 +33,7 @@ from hazecast.session import new_folder, stored
 LENGTH = 400
 GRAM = 128
 BLOCK = 1 << 20  # starts of a text that are looked at together
-CROWD = 2000  # places of an anchor that one task still compares
+CROWD = 5000  # places of an anchor that one task still compares, some 3 MB
 ABSENT = 0  # symbol of a column outside a segment; bytes are 1 to 256
 ANCHORS = "digest binary, anchor long, pos int, lo int, hi int"
 
@@ -52,7 +52,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def anchors(text: bytes, length: int, gram: int, values: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """(anchor, its position, first and last start it rules) of all strings of ``length`` bytes.
+    """(anchor, its position, first and last start it rules, hash of the segment) of all strings
+    of ``length`` bytes.
 
     ``values`` maps bytes to random 64-bit numbers. Of equal hashes the leftmost is the anchor.
     """
@@ -79,7 +80,25 @@ def anchors(text: bytes, length: int, gram: int, values: np.ndarray) -> Iterator
         last = np.flatnonzero(np.append(at[1:] != at[:-1], True))
         first = np.append(0, last[:-1] + 1)
         own = at[last]
-        yield hashes[own].view(np.int64), own + base, first + base, last + base
+        segment = (sums[last + length] - sums[first]) * inverse[first]
+        yield hashes[own].view(np.int64), own + base, first + base, last + base, segment
+
+
+def within_text(parts: list[tuple[np.ndarray, ...]], length: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Anchors of one text, each segment once, and the spans (begin, stop) of the segments it
+    holds several times. A text that goes in circles would send the same segment many times."""
+    anchor, pos, lo, hi, segment = (np.concatenate(c) for c in zip(*parts, strict=True))
+    order = np.lexsort((hi - lo, segment, anchor))
+    same = np.all([c[order][1:] == c[order][:-1] for c in (anchor, segment, hi - lo)], axis=0)
+    if not same.any():
+        return [anchor, pos, lo, hi], np.zeros((0, 2), np.int64)
+    again = np.append(False, same) | np.append(same, False)
+    covered = np.sort(order[again])  # in the order of the text
+    begin, stop = lo[covered], hi[covered] + length
+    apart = np.append(True, begin[1:] > stop[:-1])
+    spans = np.column_stack((begin[apart], stop[np.append(apart[1:], True)]))
+    once = np.sort(order[np.append(True, ~same)])
+    return [c[once] for c in (anchor, pos, lo, hi)], spans
 
 
 def repeated_starts(groups: np.ndarray, segments: list[bytes], before: np.ndarray, length: int, window: int) -> np.ndarray:
@@ -179,16 +198,17 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, cro
             for start in range(0, len(digests), 500):
                 parts, row = [], []
                 for i, text in enumerate(texts_of(texts.slice(start, 500)), start):
-                    for part in anchors(text.encode(), length, gram, values):
-                        parts.append(part)
-                        row.append(np.full(len(part[0]), i))
-                if parts:
-                    columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
-                    yield pa.RecordBatch.from_arrays(
-                        [digests.take(pa.array(np.concatenate(row))), pa.array(columns[0])]
-                        + [pa.array(c.astype(np.int32)) for c in columns[1:]],
-                        ["digest", "anchor", "pos", "lo", "hi"],
-                    )
+                    own, spans = within_text(list(anchors(text.encode(), length, gram, values)), length)
+                    # a span stands in a row without anchor
+                    begin, stop = spans.T
+                    parts.append([np.append(own[0], begin * 0), np.append(own[1], begin * 0 - 1), np.append(own[2], begin), np.append(own[3], stop)])
+                    row.append(np.full(len(parts[-1][0]), i))
+                columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [digests.take(pa.array(np.concatenate(row))), pa.array(columns[0], mask=columns[1] < 0)]
+                    + [pa.array(c.astype(np.int32)) for c in columns[1:]],
+                    ["digest", "anchor", "pos", "lo", "hi"],
+                )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -205,7 +225,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, cro
 
     long = F.octet_length("text") >= length
     found = stored(texts.where(long).select("digest", "text").mapInArrow(find, ANCHORS).withColumn("place", _place("pos")), "anchors")
-    runs = stored(found.join(_repeated(found, "anchor").select("anchor", "n"), "anchor"), "runs")
+    placed = found.where(F.col("anchor").isNotNull())
+    runs = stored(placed.join(_repeated(placed, "anchor").select("anchor", "n"), "anchor"), "runs")
     run = F.struct("anchor", "n", "pos", "lo", "hi")
     cut = texts.join(runs.groupBy("digest").agg(F.collect_list(run).alias("runs")), "digest").select(
         "digest",
@@ -217,7 +238,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, cro
     near = segments.where(F.col("n") <= crowd).repartition("anchor").sortWithinPartitions("anchor")
     spans = near.select("anchor", "digest", "pos", "lo", "segment").mapInArrow(compare, "digest binary, begin int, stop int")
     copies = texts.where(long & (F.col("copies") > 1)).select("digest", F.lit(0).alias("begin"), F.octet_length("text").alias("stop"))
-    spans = spans.union(copies)
+    circles = found.where(F.col("anchor").isNull()).select("digest", F.col("lo").alias("begin"), F.col("hi").alias("stop"))
+    spans = spans.union(copies).union(circles)
     crowded = segments.where(F.col("n") > crowd)
     if not runs.where(F.col("n") > crowd).isEmpty():
         spans = spans.union(_crowded_spans(stored(crowded.drop("n"), "crowded"), length))
