@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazecast.llm import byte_bpe, language, mixing, quality, repeats, simhash, token_counts, toxicity
+from hazecast.llm import byte_bpe, embeddings, language, mixing, quality, repeats, simhash, token_counts, toxicity
 from hazecast.llm.common import table
 from hazecast.session import new_folder
 
@@ -45,6 +45,10 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identified(docs, language.fit(docs))
 
 
+def op7_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"), least=0.98)
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """With a cache of its own, so that a run never depends on earlier ones."""
     tokenizer = token_counts.Tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
@@ -91,6 +95,7 @@ QUERIES: dict[str, tuple[Build, str | None]] = {
     "op4_toxicity": (op4_toxicity, None),
     "op5_simhash": (op5_simhash, None),
     "op6_language": (op6_language, None),
+    "op7_embeddings": (op7_embeddings, None),
     "op8_token_counts": (op8_token_counts, None),
     "op9_repeats": (op9_repeats, None),
     "op10_quality": (op10_quality, None),
