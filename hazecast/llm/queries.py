@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazecast.llm import byte_bpe, embeddings, language, mixing, quality, repeats, simhash, token_counts, toxicity
+from hazecast.llm import byte_bpe, chat, embeddings, language, mixing, quality, repeats, simhash, token_counts, toxicity
 from hazecast.llm.common import table
 from hazecast.session import new_folder
 
@@ -22,6 +22,69 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.digests(table(spark, folder, "documents"), vocabulary)
 
 
+TOOLS = {
+    "words": {"text": ("string", True), "count": ("integer", True), "after": ("array", False)},
+    "lines": {"text": ("string", True), "count": ("integer", True), "after": ("array", False)},
+}
+
+
+def op2_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """The table has no tool calls: every assistant turn is made into one that waits for the one
+    before, some with broken or mistyped arguments, some without a result, and some user turns
+    become results without a call."""
+    messages = table(spark, folder, "conversations")
+    name = F.concat("conv_id", F.lit("-"), "turn")
+    before = F.array(F.concat(F.lit("c"), "conv_id", F.lit("-"), F.col("turn") - 2))
+    text, size = F.substring("text", 1, 20), F.length("text")
+    arguments = (
+        F.when(size % 11 == 0, '{"count": ')
+        .when(size % 5 == 0, F.to_json(F.struct(text.alias("text"), size.cast("string").alias("count"))))
+        .otherwise(F.to_json(F.struct(text.alias("text"), size.alias("count"), before.alias("after"))))
+    )
+    tool = F.when(F.contains("text", F.lit("\n")), "lines").otherwise("words")
+    made = messages.where("role = 'assistant'").withColumn("call_id", F.concat(F.lit("c"), name))
+    calls = made.select("conv_id", "turn", "call_id", tool.alias("name"), arguments.alias("arguments"))
+    answers = made.where(size % 7 != 0).select("conv_id", "call_id", F.col("text").alias("content"))
+    loose = messages.where("role = 'user'").where(size % 13 == 0)
+    loose = loose.select("conv_id", F.concat(F.lit("x"), name).alias("call_id"), F.col("text").alias("content"))
+    return chat.formatted(messages, calls, answers.union(loose), TOOLS)
+
+
+OP2_SQL = """
+WITH RECURSIVE made AS (
+  SELECT conv_id, turn, 'c' || conv_id || '-' || turn AS call_id, text, length(text) AS size,
+         CASE WHEN contains(text, chr(10)) THEN 'lines' ELSE 'words' END AS name,
+         length(text) % 11 <> 0 AND length(text) % 5 <> 0 AS waits
+  FROM conversations WHERE role = 'assistant'
+), depths AS (
+  SELECT m.*, 0 AS depth FROM made m
+  WHERE NOT (waits AND EXISTS (SELECT 1 FROM made b WHERE b.conv_id = m.conv_id AND b.turn = m.turn - 2))
+  UNION ALL
+  SELECT m.*, d.depth + 1 FROM made m JOIN depths d ON m.conv_id = d.conv_id AND m.turn = d.turn + 2 WHERE m.waits
+), called AS (
+  SELECT *, CASE WHEN size % 11 = 0 THEN 'not a JSON object' WHEN size % 5 = 0 THEN 'count is no integer'
+                 WHEN size % 7 = 0 THEN 'no result' ELSE 'ok' END AS status,
+         CASE WHEN size % 11 = 0 THEN '{"count": '
+              WHEN size % 5 = 0 THEN '{"count":"' || size || '","text":' || to_json(text[:20]) || '}'
+              ELSE '{"after":["c' || conv_id || '-' || (turn - 2) || '"],"count":' || size || ',"text":' || to_json(text[:20]) || '}'
+         END AS arguments
+  FROM depths
+)
+SELECT conv_id, turn, 0 AS step, 'message' AS kind, NULL AS call_id, 'ok' AS status,
+       '{"content":' || to_json(text) || ',"role":' || to_json(role) || '}' AS line FROM conversations
+UNION ALL
+SELECT conv_id, turn, 1 + 2 * depth, 'call', call_id, status,
+       '{"arguments":' || to_json(arguments) || ',"id":"' || call_id || '","name":"' || name || '","role":"assistant"}' FROM called
+UNION ALL
+SELECT conv_id, turn, 2 + 2 * depth, 'result', call_id, status,
+       '{"content":' || to_json(text) || ',"id":"' || call_id || '","role":"tool"}' FROM called WHERE size % 7 <> 0
+UNION ALL
+SELECT conv_id, NULL, NULL, 'result', 'x' || conv_id || '-' || turn, 'no call',
+       '{"content":' || to_json(text) || ',"id":"x' || conv_id || '-' || turn || '","role":"tool"}'
+FROM conversations WHERE role = 'user' AND length(text) % 13 = 0
+"""
+
+
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken_words(table(spark, folder, "documents"), weights=(5.0, 2.0, 1.0), most=3.0)
 
@@ -91,6 +154,7 @@ SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM (
 
 QUERIES: dict[str, tuple[Build, str | None]] = {
     "op1_byte_bpe": (op1_byte_bpe, None),
+    "op2_chat": (op2_chat, OP2_SQL),
     "op3_mixing": (op3_mixing, OP3_SQL),
     "op4_toxicity": (op4_toxicity, None),
     "op5_simhash": (op5_simhash, None),
