@@ -63,6 +63,16 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return found
 
 
+def columns(df: DataFrame) -> list[Column]:
+    """All columns, also those with dots in their names."""
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
+def row_key(*values: Column | str) -> Column:
+    """128 bits that name a row by some of its values."""
+    return F.substring(F.unhex(F.sha2(F.to_json(F.struct(*values)).cast("binary"), 256)), 1, 16)
+
+
 def replaced(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add ``columns``; a column of ``df`` with the same name (in any case) gives way."""
     new = {c.lower() for c in columns}

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazecast.llm.common import WORD
+from hazecast.llm.common import WORD, columns, fresh, row_key
 from hazecast.session import stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -118,13 +118,15 @@ def taken_words(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: flo
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST, seed: int = SEED) -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as it is taken (0 times: gone)."""
-    key = F.substring(F.unhex(F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).cast("binary"), 256)), 1, 16)
-    own = docs.select(key.alias("_row"), "doc_id", "source", size_of().alias("size"))
-    rows = own.groupBy("_row", "doc_id", "source", "size").agg(F.count("*").alias("n"))
-    drawn = mixed(rows, weights, most, seed, "_row")
-    copies = _crossed(F.col("upto")) - _crossed(F.col("upto") - F.col("n"))
-    drawn = drawn.select("_row", "n", copies.alias("_copies")).where("_copies > 0")
-    # equal rows are told apart by nothing: each brings its even share, one of them the rest
-    some = docs.withColumn("_row", key).join(drawn.where("n = 1").drop("n"), "_row")
-    many = docs.withColumn("_row", key).join(drawn.where("n > 1").drop("n"), "_row").dropDuplicates(["_row"])
-    return some.union(many).select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias("_k")).drop("_k")
+    row, copies, turn = fresh(docs, "_row", "_copies", "_turn")
+    keyed = docs.withColumn(row, row_key(*columns(docs)))
+    own = keyed.select(F.col(row).alias("row"), "doc_id", "source", size_of().alias("size"))
+    rows = own.groupBy("row", "doc_id", "source", "size").agg(F.count("*").alias("n"))
+    drawn = mixed(rows, weights, most, seed, "row")
+    crossed = _crossed(F.col("upto")) - _crossed(F.col("upto") - F.col("n"))
+    drawn = drawn.select(F.col("row").alias(row), "n", crossed.alias(copies)).where(F.col(copies) > 0)
+    # equal rows are drawn together, and one of them brings the copies of all
+    some = keyed.join(drawn.where("n = 1").select(row, copies), row)
+    many = keyed.join(drawn.where("n > 1").select(row, copies), row).dropDuplicates([row])
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))).alias(turn)
+    return some.union(many).select(*columns(docs), again).select(columns(docs))

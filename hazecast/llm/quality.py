@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazecast.llm.common import fresh, replaced, texts_of
+from hazecast.llm.common import columns, fresh, replaced, row_key, texts_of
 from hazecast.session import stored
 
 ERROR = 0.01
@@ -153,8 +153,8 @@ def judged(docs: DataFrame, error: float = ERROR, reach: float = REACH, least: i
 
 def filtered(docs: DataFrame, **settings) -> DataFrame:
     """Rows of ``docs`` that the rules keep; rows are told apart by doc_id and text."""
-    key = F.substring(F.unhex(F.sha2(F.to_json(F.struct("doc_id", "text", "lang", "source")).cast("binary"), 256)), 1, 16)
-    rows = docs.withColumn("_row", key)
-    verdicts = judged(rows.select(F.col("_row").alias("doc_id"), "lang", "source", "text"), **settings)
-    good = verdicts.where("kept").select(F.col("doc_id").alias("_row"))
-    return rows.join(good, "_row", "left_semi").drop("_row")
+    (row,) = fresh(docs, "_row")
+    keyed = docs.withColumn(row, row_key("doc_id", "text", "lang", "source"))
+    verdicts = judged(keyed.select(F.col(row).alias("doc_id"), "lang", "source", "text"), **settings)
+    good = verdicts.where("kept").select(F.col("doc_id").alias(row))
+    return keyed.join(good, row, "left_semi").select(columns(docs))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazecast.llm.common import replaced, text_digest, texts_of
+from hazecast.llm.common import fresh, text_digest, texts_of
 from hazecast.session import new_folder, stored
 
 LENGTH = 400
@@ -332,10 +332,12 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, cro
     def whole_characters(values: pa.Array) -> pa.Array:
         return pa.array([v.as_py().decode(errors="ignore") for v in values], pa.string())
 
+    digest, kept, missing = fresh(docs, "_digest", "_kept", "_missing")
     clean = cleaned_texts(docs, length, gram, crowd).select(
-        F.col("digest").alias("_digest"), whole_characters("kept").alias("_kept")
+        F.col("digest").alias(digest), whole_characters("kept").alias(kept)
     )
-    rows = docs.withColumn("_digest", text_digest()).withColumn("_null", F.col("text").isNull()).drop("text")
-    text = F.when(~F.col("_null"), F.col("_kept"))
-    joined = rows.join(clean, "_digest")
-    return replaced(joined, {"text": text, "n_chars": F.length(text).cast("long")}).select(*docs.columns)
+    rows = docs.withColumns({digest: text_digest(), missing: F.col("text").isNull()}).drop("text")
+    text = F.when(~F.col(missing), F.col(kept))
+    new = {"text": text, "n_chars": F.length(text).cast("long")}
+    joined = rows.join(clean, digest)
+    return joined.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazecast.llm.common import texts_of
+from hazecast.llm.common import columns, fresh, row_key, texts_of
 from hazecast.llm.components import components
 from hazecast.session import stored
 
@@ -177,12 +177,12 @@ def one_of_each(docs: DataFrame, width: int = 3, max_distance: int = 2) -> DataF
     It is the row of the smallest doc_id; of repeated ids, that of the smallest text digest; rows
     without id come last. Of fully equal rows one stays.
     """
-    key = F.substring(F.unhex(F.sha2(F.to_json(F.struct("doc_id", "text")).cast("binary"), 256)), 1, 16)
-    rows = docs.withColumn("_row", key)
-    signed = stored(rows.select("_row", "doc_id", fingerprint(F.col("text"), width).alias("bits")), "fingerprints")
-    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("_row"))
+    (row,) = fresh(docs, "_row")
+    rows = docs.withColumn(row, row_key("doc_id", "text"))
+    signed = stored(rows.select(row, "doc_id", fingerprint(F.col("text"), width).alias("bits")), "fingerprints")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", row)
     prints = stored(signed.groupBy("bits").agg(F.min(rank).alias("first")), "prints")
     roots = components(links(prints, max_distance), "a", "b")
     placed = prints.join(roots.withColumnRenamed("node", "bits"), "bits", "left").withColumn("root", F.coalesce("root", "bits"))
-    stays = placed.groupBy("root").agg(F.min("first").alias("first")).select("first._row")
-    return rows.join(stays, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")
+    stays = placed.groupBy("root").agg(F.min("first").alias("first")).select(f"first.{row}")
+    return rows.join(stays, row, "left_semi").dropDuplicates([row]).select(columns(docs))
