@@ -11,10 +11,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from functools import reduce
 from multiprocessing.pool import ThreadPool
+from urllib.parse import quote, unquote
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressionModel, RandomForestRegressor
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazecast.models.evaluate import regression_metrics
@@ -83,7 +84,8 @@ def score_trees(
     *,
     name: str = "random_forest_pred",
 ) -> DataFrame:
-    """Rows of the stations that have a model, with its prediction; incomplete rows get null."""
+    """All rows with the prediction of their station's model; null where the row is incomplete or
+    the station has no model."""
     complete = reduce(lambda a, c: a & F.col(c).isNotNull(), features, F.lit(True))
     # MLlib refuses nulls in a vector; the filler of incomplete rows never reaches a result
     filled = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features]
@@ -95,7 +97,9 @@ def score_trees(
     parts = [
         model.transform(known.where(F.col(series.key) == station)) for station, model in models.items()
     ]
-    scored = reduce(DataFrame.unionByName, parts)
+    # also the rows without station: they are in no other part
+    others = known.where(~F.coalesce(F.col(series.key).isin(list(models)), F.lit(False)))
+    scored = reduce(DataFrame.unionByName, parts, others.withColumn("pred", F.lit(None).cast("double")))
     return scored.select(*df.columns, F.when(F.col("_complete"), F.col("pred")).alias(name))
 
 
@@ -129,6 +133,15 @@ def cross_validated_trees(
 
 
 def save_trees(models: dict, folder: str) -> None:
+    """Store every model below ``folder``; any text is a station name."""
     for station, model in models.items():
-        model.write().overwrite().save(f"{folder}/{station}")
+        model.write().overwrite().save(f"{folder}/station={quote(str(station), safe='')}")
+
+
+def load_trees(spark: SparkSession, folder: str, kind: type = RandomForestRegressionModel) -> dict:
+    """Models that :func:`save_trees` stored, by station."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    folders = [f.getPath().toString() for f in found]
+    return {unquote(f.rpartition("/station=")[2]): kind.load(f) for f in folders}
 

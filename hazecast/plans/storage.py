@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from hazecast.models.evaluate import cv_average
 from hazecast.operators.layout import lift, row_positions
-from hazecast.operators.windows import station_features
 from hazecast.plans.analysis import AVERAGES, METRIC_VIEWS, ROUNDED_AVERAGES, AVERAGE_DIGITS, fold_metrics_frame
 from hazecast.plans.common import DAYS, TICKS, rounded
 from hazecast.plans.features import ALL, STD
@@ -101,9 +100,29 @@ def streamed_append(spark, folder):
     raw = lift(placed.drop("_n", "_pos")).select("date", *READINGS, "city", "back")
     drops = f"{base}/drops"
     store = FeatureStore(spark, f"{base}/store", DAYS)
-    store.seed(station_features(raw.where("back > 300").drop("back"), DAYS))
+    store.seed(raw.where("back > 300").drop("back"))
     for low, high in [(150, 300), (0, 160)]:
         raw.where(F.col("back").between(low + 1, high)).drop("back").write.mode("append").parquet(drops)
         stream = append_stream(store, drops, f"{base}/progress", once=True)
         stream.awaitTermination()
     return rounded(_naive(store.read()), STD).select(*ALL)
+
+
+@query(
+    with_series(
+        f"SELECT {rounded_std()} FROM f WHERE {not_null(ALL)}",
+        f=f"SELECT *, {FEATURES} FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY city ORDER BY date) AS i "
+        "FROM series_days) WHERE i <= 150)",
+    )
+)
+def streamed_new_stations(spark, folder):
+    """Stations unknown to the store, whose days come in drops too short for any feature."""
+    base = new_folder(spark, "stream")
+    placed = row_positions(series_days(spark, folder), DAYS).where("_pos < 150")
+    raw = lift(placed.withColumn("date", F.col("date").cast("timestamp"))).select("date", *READINGS, "city", "_pos")
+    drops = f"{base}/drops"
+    store = FeatureStore(spark, f"{base}/store", DAYS)
+    for begin in range(0, 150, 30):
+        raw.where(F.col("_pos").between(begin, begin + 29)).drop("_pos").write.mode("append").parquet(drops)
+        append_stream(store, drops, f"{base}/progress", once=True).awaitTermination()
+    return rounded(_naive(store.read()), STD).select(*ALL)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazecast.operators.layout import Series, lay_out, lift
@@ -39,8 +40,12 @@ def write_parquet(
 
 
 def _by_station(df: DataFrame, series: Series, folders: bool) -> DataFrameWriter:
-    """Rows gathered by (station, slot): few files, and no task holds a whole hot station."""
-    rows = lift(lay_out(df, series)).sortWithinPartitions(series.key, series.time)
+    """Rows gathered by (station, slot): few files, and no task holds a whole hot station.
+
+    Rows without station or time have no slot; they are stored as well, from where they are.
+    """
+    loose = df.where(F.col(series.key).isNull() | F.col(series.time).isNull())
+    rows = lift(lay_out(df, series)).unionByName(loose).sortWithinPartitions(series.key, series.time)
     return rows.write.partitionBy(series.key) if folders else rows.write
 
 

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from hazecast.operators import append, windows
@@ -51,7 +52,7 @@ def test_chunk_with_history_equals_whole_series(spark):
 def test_stream_takes_duplicates_late_rows_and_replays(spark, tmp_path):
     series = Series()
     store = FeatureStore(spark, f"{tmp_path}/store", series)
-    store.seed(windows.station_features(hours(spark, 0, 100), series))
+    store.seed(hours(spark, 0, 100))
     drops, progress = f"{tmp_path}/drops", f"{tmp_path}/progress"
 
     def run(df):
@@ -78,7 +79,7 @@ def test_stream_takes_duplicates_late_rows_and_replays(spark, tmp_path):
 
 def test_watermark_drops_what_is_too_late(spark, tmp_path):
     store = FeatureStore(spark, f"{tmp_path}/store")
-    store.seed(windows.station_features(hours(spark, 0, 100)))
+    store.seed(hours(spark, 0, 100))
     for rows in (hours(spark, 100, 100), hours(spark, 190, 20), hours(spark, 0, 100, "b")):
         rows.coalesce(1).write.mode("append").parquet(f"{tmp_path}/drops")
         stream = append_stream(store, f"{tmp_path}/drops", f"{tmp_path}/progress", late="2 days", once=True)
@@ -113,3 +114,78 @@ def test_payload_files(spark, tmp_path):
     )
     got = payloads.typed_payload_rows(typed, ["pm10"]).orderBy("date").collect()
     assert [(r["city"], r["pm10"]) for r in got] == [("x", 1.0), ("x", 2.0)]
+
+
+def test_new_station_in_short_drops_gets_its_features(spark, tmp_path):
+    """Hours of a station come in drops shorter than any lag, with gaps that are filled forward."""
+    series = Series()
+    whole = hours(spark, 0, 90).withColumn("pm10", F.when(F.hour("date") % 5 != 0, F.col("pm10")))
+    want = windows.station_features(whole, series, nulls="ffill_drop").orderBy("date").toPandas()
+    for size in (30, 7):
+        store = FeatureStore(spark, f"{tmp_path}/store{size}", series)
+        for batch, begin in enumerate(range(0, 90, size)):
+            part = whole.where(F.col("date") >= F.lit("2024-01-01") + F.expr(f"INTERVAL {begin} HOURS"))
+            part = part.where(F.col("date") < F.lit("2024-01-01") + F.expr(f"INTERVAL {begin + size} HOURS"))
+            store.append(part, batch)
+            store.append(part.limit(0), batch)  # nothing new changes nothing
+        got = store.read().orderBy("date").toPandas()
+        assert len(got) == 90 - 48
+        pd.testing.assert_frame_equal(got[want.columns], want)
+        assert len(list((tmp_path / f"store{size}" / "state").iterdir())) <= 2
+
+
+def test_writers_keep_rows_without_station_or_time(spark, tmp_path):
+    rows = hours(spark, 0, 8).withColumns(
+        {
+            "city": F.when(F.hour("date") != 3, F.col("city")),
+            "date": F.when(F.hour("date") != 5, F.col("date")),
+        }
+    )
+    for folders in (True, False):
+        files.write_parquet(rows, f"{tmp_path}/p{folders}", folders=folders)
+        back = spark.read.schema(rows.schema).parquet(f"{tmp_path}/p{folders}").select(*rows.columns)
+        assert back.count() == 8 and back.exceptAll(rows).count() == 0
+    files.write_csv(rows, f"{tmp_path}/c", folders=False)
+    assert spark.read.option("header", True).csv(f"{tmp_path}/c").count() == 8
+
+
+def test_bad_payloads_fail_or_are_listed(spark, tmp_path):
+    good = {"time": ["2024-01-01T00:00", "2024-01-01T01:00"], "pm10": [1.0, 2.0]}
+    texts = {
+        "good": json.dumps({"hourly": good}),
+        "lacks": json.dumps({"hourly": good}),
+        "short": json.dumps({"hourly": {**good, "ozone": [1.0]}}),
+        "broken": "{not json",
+    }
+    df = spark.createDataFrame(list(texts.items()), "city string, payload string")
+    rows = payloads.json_payload_rows(df, ["pm10", "ozone"], bad="skip").collect()
+    assert sorted((r.city, r.pm10, r.ozone) for r in rows) == [
+        ("good", 1.0, None), ("good", 2.0, None), ("lacks", 1.0, None), ("lacks", 2.0, None),
+    ]
+    rejected = payloads.rejected_payloads(df, ["pm10", "ozone"], "payload").collect()
+    assert {(r.city, r.reason) for r in rejected} == {
+        ("short", "ozone has another length than the time axis"),
+        ("broken", "no readable time axis"),
+    }
+    with pytest.raises(Exception, match="bad payload"):
+        payloads.json_payload_rows(df, ["pm10", "ozone"]).collect()
+
+    typed = spark.createDataFrame(
+        [("x", 0, 7200, 3600, [1.0, 2.0]), ("short", 0, 7200, 3600, [1.0]), ("none", None, 7200, 3600, [1.0, 2.0])],
+        "city string, start long, end long, interval long, pm10 array<double>",
+    )
+    assert payloads.typed_payload_rows(typed, ["pm10"], bad="skip").count() == 2
+    assert {r.city for r in payloads.rejected_payloads(typed, ["pm10"]).collect()} == {"short", "none"}
+
+
+def test_files_in_local_time_become_features(spark, tmp_path):
+    times = [str(t).replace(" ", "T")[:16] for t in pd.date_range("2024-01-01", periods=60, freq="h")]
+    hourly = {"time": times, "pm10": [float(i) for i in range(60)]}
+    (tmp_path / "São Paulo.json").write_text(json.dumps({"hourly": hourly}))
+    rows = payloads.read_json_payloads(spark, str(tmp_path), ["pm10"], city=r"([^/]+)\.json$", zone="Asia/Karachi")
+    first = rows.orderBy("date").first()
+    assert first.city == "São Paulo" and str(first.local_date) == "2024-01-01 00:00:00"
+    assert rows.where("date = timestamp'2023-12-31 19:00:00'").count() == 1
+    local = rows.select(F.col("local_date").alias("date"), F.col("pm10").alias("us_aqi"), "city")
+    featured = windows.station_features(local)
+    assert featured.orderBy("date").first()["hour"] == 0 and featured.count() == 12
