@@ -145,10 +145,12 @@ def _halo(base: DataFrame, series: Series, reach: int, reverse: bool) -> DataFra
     rows here; since a slot with fewer keeps all of them, distances among the kept rows up to
     ``reach`` are the true ones.
     """
+    # no filter on the slot itself: it would be pushed below the exchange of this branch alone,
+    # which could not be shared with the main rows any more
+    kept_rows = F.when(F.col(SLOT) != WHOLE, reach).otherwise(0)
     edges = (
-        base.where(F.col(SLOT) != WHOLE)
-        .withColumn("_rank", F.row_number().over(series.in_slot(not reverse)))
-        .where(F.col("_rank") <= reach)
+        base.withColumn("_rank", F.row_number().over(series.in_slot(not reverse)))
+        .where(F.col("_rank") <= (reach if series.slot_seconds is not None else kept_rows))
         .drop("_rank")
     )
     along = series.in_key(reverse)
