@@ -7,13 +7,38 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazecast.operators.layout import Series
+from hazecast.operators.layout import Series, lift, row_positions
 from hazecast.operators.lookup import lookup
-from hazecast.session import settle
+from hazecast.session import stored
 
 Scorer = Callable[[DataFrame], DataFrame]
 
 
+def drawn_background(
+    rows: DataFrame,
+    background: DataFrame,
+    features: list[str],
+    series: Series = Series(),
+    *,
+    permutations: int = 20,
+    seed: int = 42,
+) -> DataFrame:
+    """Station, time, ``_x`` (a row's features), ``_try`` and ``_base``: for each row and try one
+    complete background row, drawn from all of its station's by position; null if it has none.
+    """
+    key, time = series.key, series.time
+    values = F.array(*[F.col(c).cast("double") for c in features])
+    complete = lift(row_positions(background.select(key, time, *features).dropna(), series))
+    complete = stored(complete.select(key, F.col("_pos").alias("_draw"), values.alias("_base")), "background")
+    sizes = complete.groupBy(key).agg(F.count("*").alias("_drawn"))
+    tried = lookup(rows.select(key, time, values.alias("_x")), sizes, [key], spread=[time])
+    tried = tried.withColumn("_try", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
+    chance = F.xxhash64(F.lit(seed), key, time, "_try")
+    # positions are spread over the whole background: no key of this join is hot
+    tried = tried.withColumn("_draw", F.pmod(chance, F.col("_drawn"))).drop("_drawn")
+    return tried.join(complete, [key, "_draw"], "left").drop("_draw")
+
+
 def sampled_shapley(
     rows: DataFrame,
     background: DataFrame,
@@ -22,7 +47,6 @@ def sampled_shapley(
     series: Series = Series(),
     *,
     permutations: int = 20,
-    background_rows: int = 64,
     model: str = "random_forest",
     seed: int = 42,
 ) -> DataFrame:
@@ -32,35 +56,11 @@ def sampled_shapley(
     from its values to the explained row's one after another, and every step is scored in one
     batch by ``score``, which adds ``pred``. Order and draw are hashes of station, time and
     seed, so they do not depend on partitioning. The values of a row add up to its prediction
-    less the mean prediction of the background rows drawn for it.
+    less the mean prediction of the background rows drawn for it. Rows whose station has no
+    background, and incomplete rows, get null values.
     """
     key, time, p = series.key, series.time, len(features)
-    drawn_by = Window.partitionBy(key).orderBy(F.xxhash64(F.lit(seed), key, time), time)
-    # the sampling operator itself: Spark keeps the first rows of a station in every map task
-    sample = (
-        background.select(key, time, *features)
-        .dropna()
-        .withColumn("_draw", F.row_number().over(drawn_by))
-        .where(F.col("_draw") <= background_rows)
-    )
-    size = Window.partitionBy(key)
-    sample = sample.select(
-        key,
-        (F.col("_draw") - 1).cast("long").alias("_draw"),
-        F.max("_draw").over(size).alias("_drawn"),
-        F.array(*[F.col(c).cast("double") for c in features]).alias("_base"),
-    )
-    sample = settle(sample)
-    sizes = sample.groupBy(key).agg(F.max("_drawn").alias("_drawn"))
-
-    tried = rows.select(key, time, F.array(*[F.col(c).cast("double") for c in features]).alias("_x"))
-    tried = lookup(tried, sizes, [key], how="inner", spread=[time])
-    tried = tried.withColumn("_try", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
-    chance = F.xxhash64(F.lit(seed), key, time, "_try")
-    tried = tried.withColumn("_draw", F.pmod(chance, F.col("_drawn"))).drop("_drawn")
-    tried = lookup(
-        tried, sample.drop("_drawn"), [key, "_draw"], how="inner", spread=[time, "_try"], stored=True
-    )
+    tried = drawn_background(rows, background, features, series, permutations=permutations, seed=seed)
     order = F.array_sort(
         F.array(*[F.struct(F.xxhash64(F.lit(seed), key, time, "_try", F.lit(j)), F.lit(j).alias("j")) for j in range(p)])
     )

@@ -39,5 +39,6 @@ def with_holdout(df: DataFrame, share: float = 0.2, series: Series = Series()) -
 def with_random_split(df: DataFrame, share: float = 0.2, seed: int = 42, series: Series = Series()) -> DataFrame:
     """Add ``is_test`` by a hash of station, time and seed: the same rows on every run and layout."""
     buckets = 1_000_000
-    bucket = F.pmod(F.xxhash64(F.lit(seed), series.key, series.time), F.lit(buckets))
+    text = F.concat_ws("|", F.lit(seed), series.key, series.micros())
+    bucket = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long") % buckets
     return df.withColumn("is_test", bucket < int(share * buckets))

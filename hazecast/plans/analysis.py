@@ -195,14 +195,22 @@ def describe_readings(spark, folder):
     return rounded(stats.describe(settle(station_hours(spark, folder)), READINGS), MOMENTS)
 
 
-@query(_describe_sql([TARGET, "pm10", "uv_index"], "shipment_ticks"))
+@query(_describe_sql(READINGS, "shipment_ticks"))
 def describe_ticks(spark, folder):
-    return rounded(stats.describe(stored_ticks(spark, folder, TARGET, "pm10", "uv_index"), [TARGET, "pm10", "uv_index"]), MOMENTS)
+    return rounded(stats.describe(stored_ticks(spark, folder), READINGS), MOMENTS)
 
 
-@query(_describe_sql(["random_forest_pred", "svr_pred"], "predicted", **PREDICTION_VIEWS))
+QUARTILES = dict.fromkeys(["q25", "q50", "q75"], 4)
+
+
+@query(
+    _describe_sql(PREDICTIONS, "predicted", **PREDICTION_VIEWS)
+    .replace("quantile_cont(v, 0.25)", "round(quantile_cont(v, 0.25), 4)")
+    .replace("quantile_cont(v, 0.5)", "round(quantile_cont(v, 0.5), 4)")
+    .replace("quantile_cont(v, 0.75)", "round(quantile_cont(v, 0.75), 4)")
+)
 def describe_predictions(spark, folder):
-    return rounded(stats.describe(settle(predicted_days(spark, folder)), ["random_forest_pred", "svr_pred"]), MOMENTS)
+    return rounded(stats.describe(settle(predicted_days(spark, folder)), PREDICTIONS), MOMENTS | QUARTILES)
 
 
 def _histogram_sql(column: str, source: str, **views: str) -> str:
@@ -224,9 +232,18 @@ def index_histogram(spark, folder):
     return stats.histogram(stored_ticks(spark, folder, TARGET), TARGET)
 
 
-@query(_histogram_sql("svr_pred", "predicted", **PREDICTION_VIEWS))
+@query(
+    _histogram_sql(
+        "pred",
+        "long",
+        **PREDICTION_VIEWS,
+        long=" UNION ALL ".join(f"SELECT '{c} ' || city AS city, {c} AS pred FROM predicted" for c in PREDICTIONS),
+    )
+)
 def prediction_histogram(spark, folder):
-    return stats.histogram(predicted_days(spark, folder), "svr_pred")
+    """Every model of every city is a series of its own."""
+    long = stats.long_form(predicted_days(spark, folder), PREDICTIONS, ["city", "date"])
+    return stats.histogram(long.withColumn("city", F.concat_ws(" ", "model", "city")), "pred")
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hazecast.models import attribution, kernel, linear, score, trees
 from hazecast.models.evaluate import cv_average
-from hazecast.models.folds import with_holdout, with_random_split
+from hazecast.models.folds import SPLITS, with_blocks, with_holdout, with_random_split
 from hazecast.operators import frames
 from hazecast.plans.analysis import BLOCK_SQL
 from hazecast.plans.common import (
@@ -21,7 +21,7 @@ from hazecast.plans.common import (
 from hazecast.plans.registry import query
 from hazecast.plans.sql import with_series
 from hazecast.schemas import FEATURES, TARGET
-from hazecast.session import new_folder, settle
+from hazecast.session import new_folder, settle, stored
 from hazecast.sources import files
 from hazecast.sources.tables import series_days
 
@@ -38,7 +38,12 @@ def chronological_holdout(spark, folder):
     return with_holdout(complete_days(spark, folder).select("date", "city"), 0.2, DAYS)
 
 
-@query()
+@query(
+    with_series(
+        "SELECT date, city, ('0x' || substr(md5('42|' || city || '|' || epoch_us(date)), 1, 8))::BIGINT % 1000000 < 200000 AS is_test "
+        "FROM series_days"
+    )
+)
 def random_split(spark, folder):
     return with_random_split(series_days(spark, folder).select("date", "city"), 0.2, 42, DAYS)
 
@@ -171,6 +176,30 @@ def ridge_all_features(spark, folder):
     return linear.coefficient_rows(linear.fit_ridge(complete_days(spark, folder), FEATURES, TARGET, DAYS), DAYS)
 
 
+@query(
+    with_series(
+        "SELECT city, cast(fold AS int) AS fold, count(*) AS rows, 0.0::DOUBLE AS worst FROM blocked "
+        "JOIN (SELECT unnest(range(0, 6)) AS fold) ON fold = 0 OR block < fold GROUP BY city, fold",
+        **DAY_VIEWS,
+        blocked=BLOCK_SQL.format(source="complete"),
+    )
+)
+def ridge_normal_equations(spark, folder):
+    """Fits on all features: how far the worst normal equation of each city and fold is from 0."""
+    features = stored_days(spark, folder)
+    models = settle(linear.fit_ridge(features, FEATURES, TARGET, DAYS))
+    blocked = stored(with_blocks(features, DAYS, SPLITS), "blocked")
+    fold = F.explode(F.sequence(F.lit(linear.REFIT), F.lit(SPLITS)))
+    used = blocked.withColumn("fold", fold).where((F.col("fold") == linear.REFIT) | (F.col("block") < F.col("fold")))
+    z = F.zip_with(F.zip_with(F.array(*FEATURES), "means", lambda x, m: x - m), "scales", lambda x, s: x / s)
+    joined = used.join(F.broadcast(models), ["city", "fold"]).withColumn("z", z)  # a row per city and fold
+    fitted = F.col("intercept") + F.aggregate(F.zip_with("z", "coefs", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    sums = [F.sum(F.col("z")[j] * (F.col(TARGET) - fitted)) - F.first("coefs")[j] for j in range(len(FEATURES))]
+    worst = F.array_max(F.transform(F.array(*sums), F.abs)) / F.count("*")
+    found = joined.groupBy("city", "fold").agg(F.count("*").alias("rows"), worst.alias("worst"))
+    return rounded(found.withColumn("worst", F.abs("worst")), {"worst": 4})
+
+
 @query()
 def ridge_cv_averages(spark, folder):
     _, metrics = linear.cross_validated_ridge(stored_days(spark, folder), FEATURES, TARGET, DAYS)
@@ -239,7 +268,7 @@ def forest_forecast(spark, folder):
     history, ahead = history_and_forecast(spark, folder)
     features = files.station_table(complete_days(spark, folder), DAYS)
     frame = frames.forecast_frame(history, ahead, DAYS)
-    forest = trees.fit_trees(features, trees.random_forest(depth=8), FEATURES, TARGET, DAYS)
+    forest = trees.fit_trees(features, trees.random_forest(), FEATURES, TARGET, DAYS)
     ridge = settle(linear.fit_ridge(features, FEATURES, TARGET, DAYS))
     return score.forecasts(settle(frame), forest=forest, ridge=ridge, series=DAYS)
 
@@ -248,7 +277,7 @@ def forest_forecast(spark, folder):
 def tree_fit_metrics(spark, folder):
     """Cross-validation of a single decision tree."""
     _, metrics = trees.cross_validated_trees(
-        stored_days(spark, folder), trees.decision_tree(depth=6), FEATURES, TARGET, DAYS, model="tree"
+        stored_days(spark, folder), trees.decision_tree(), FEATURES, TARGET, DAYS, model="tree"
     )
     return cv_average(metrics)
 
@@ -256,20 +285,44 @@ def tree_fit_metrics(spark, folder):
 @query()
 def kernel_cv_averages(spark, folder):
     _, metrics = kernel.cross_validated_kernel(
-        stored_days(spark, folder), FEATURES, TARGET, LARGE_SLOTS, components=128, rounds=3
+        stored_days(spark, folder), FEATURES, TARGET, LARGE_SLOTS
     )
     return cv_average(metrics)
 
 
-@query()
-def sampled_shapley(spark, folder):
-    """Sampled attribution of a forest on the forecast frame."""
+def _shapley_inputs(spark, folder):
+    """Forecast frame, its background, and a scorer by forests of all features."""
     history, ahead = history_and_forecast(spark, folder)
     features = files.station_table(complete_days(spark, folder), DAYS)
-    frame = frames.forecast_frame(history, ahead, DAYS)
-    forest = trees.fit_trees(features, trees.random_forest(trees=20, depth=6), PAIR, TARGET, DAYS)
+    forest = trees.fit_trees(features, trees.random_forest(), FEATURES, TARGET, DAYS)
 
     def scorer(df):
-        return trees.score_trees(df, forest, PAIR, DAYS, name="pred")
+        return trees.score_trees(df, forest, FEATURES, DAYS, name="pred")
+
+    return settle(frames.forecast_frame(history, ahead, DAYS)), features, scorer
+
+
+@query()
+def sampled_shapley(spark, folder):
+    """Sampled attribution of a forest on the forecast frame."""
+    frame, features, scorer = _shapley_inputs(spark, folder)
+    return attribution.sampled_shapley(frame, features, FEATURES, scorer, DAYS)
+
 
-    return attribution.sampled_shapley(frame, features, PAIR, scorer, DAYS, permutations=8)
+@query(
+    with_series(
+        "SELECT date, city, cast(16 AS bigint) AS features, 0.0::DOUBLE AS gap FROM placed WHERE back <= 72",
+        placed="SELECT *, row_number() OVER (PARTITION BY city ORDER BY date DESC) AS back FROM series_days",
+    )
+)
+def shapley_adds_up(spark, folder):
+    """The values of a row less its prediction plus the mean prediction of its drawn background."""
+    frame, features, scorer = _shapley_inputs(spark, folder)
+    phis = attribution.sampled_shapley(frame, features, FEATURES, scorer, DAYS)
+    sums = phis.groupBy("city", "date").agg(F.sum("phi").alias("phi"), F.count("*").alias("features"))
+    drawn = attribution.drawn_background(frame, features, FEATURES, DAYS)
+    drawn = drawn.select("city", "date", *[F.col("_base")[j].alias(c) for j, c in enumerate(FEATURES)])
+    base = scorer(drawn).groupBy("city", "date").agg(F.avg("pred").alias("base"))
+    joined = sums.join(base, ["city", "date"]).join(scorer(frame).select("city", "date", "pred"), ["city", "date"])
+    gap = F.abs(F.round(F.col("phi") - F.col("pred") + F.col("base"), 4))
+    return joined.select("date", "city", "features", gap.alias("gap"))

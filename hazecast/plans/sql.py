@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from hazecast.schemas import MEMORY, READINGS
 
 STATION_HOURS = """
@@ -81,7 +83,7 @@ def with_series(select: str, **views: str) -> str:
     named = {"station_hours": STATION_HOURS, "series_days": SERIES_DAYS, "shipment_ticks": SHIPMENT_TICKS}
     used, seen = [], select + " ".join(views.values())
     for name, text in named.items():
-        if name in seen:
+        if re.search(rf"\b{name}\b", seen):
             used.append(f"{name} AS ({text})")
     used += [f"{name} AS ({text})" for name, text in views.items()]
     return f"WITH {', '.join(used)} {select}"

@@ -186,10 +186,10 @@ def test_sampled_shapley_adds_up_and_finds_linear_weights(spark):
 
     explained = df.where(F.dayofmonth("date") == 1)
     phis = attribution.sampled_shapley(
-        explained, df, NAMES, scorer, SERIES, permutations=200, background_rows=80
+        explained, df, NAMES, scorer, SERIES, permutations=200
     )
     again = attribution.sampled_shapley(
-        explained.repartition(5), df.repartition(3), NAMES, scorer, SERIES, permutations=200, background_rows=80
+        explained.repartition(5), df.repartition(3), NAMES, scorer, SERIES, permutations=200
     )
     exact = linear.linear_attribution(explained, refit, NAMES, SERIES, background=df)
     a, b, c = [
