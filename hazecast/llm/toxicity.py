@@ -8,19 +8,21 @@ trigram model of the whole corpus and the channel's costs like best. Every other
 path and is left alone.
 
 The score sums the log odds of the most telling restored words, learned from labelled documents for
-words and for their beginnings, and a logistic fit turns the sum into a probability.
+words and for their beginnings, and a logistic fit turns the sum into a probability. What counts is
+in how many ways a word is used, that is, between which other words: copies of a document and
+passages that many share prove no more than one.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +48,7 @@ NOISY = re.compile(r"[^\W\d_][^\w\s]|[^\w\s][^\W\d_]|\d[^\W\d_]|[^\W\d_]\d|_|(\w
 
 SAMPLE = 10_000  # labelled documents that the words are learned from
 TERMS = 20_000  # words and beginnings kept
-SUPPORT = 5  # toxic documents a term must occur in, and half a percent of them
+SUPPORT = 5  # different uses in toxic documents that a term must have
 ODDS = math.log(8)
 BEGINNINGS = (4, 5, 6)
 TELLING = 3  # words of a text that its evidence is the sum of
@@ -129,22 +131,31 @@ class Restorer:
             return self.restored(bare) or bare
         return bare
 
-    def words(self, text: str, memo: dict[str, str]) -> set[str]:
-        """Distinct restored words of a text, spaced ones joined."""
+    def sequence(self, tokens: Iterable[str], memo: dict[str, str]) -> list[str]:
         if len(memo) > MEMO:
             memo.clear()
-        text = text.lower()
-        tokens = set(text.split())
-        found = set()
-        for match in SPACED.finditer(text):
-            found.add(self.restored(re.sub(r"[ .\-_*]", "", match[0]) or match[0]))
+        found = []
         for token in tokens:
             word = memo.get(token)
             if word is None:
                 word = memo[token] = self.word(token)
-            found.add(word)
+            found.append(word)
         return found
 
+    def joined(self, text: str) -> str:
+        """A lower-case text in which spaced letters are restored to words."""
+        return SPACED.sub(lambda m: self.restored(re.sub(r"[ .\-_*]", "", m[0]) or m[0]), text)
+
+    def words(self, text: str, memo: dict[str, str]) -> set[str]:
+        """Distinct restored words of a text, spaced ones joined."""
+        return set(self.sequence(set(self.joined(text.lower()).split()), memo))
+
+    def uses(self, text: str, memo: dict[str, str]) -> set[tuple[str, int]]:
+        """Restored words with a hash of the words beside them, each such use once."""
+        own = self.sequence(self.joined(text.lower()).split(), memo)
+        beside = zip(["", *own], [*own[1:], ""], strict=False)
+        return {(w, xxhash.xxh64_intdigest(f"{a} {b}") - (1 << 63)) for w, (a, b) in zip(own, beside, strict=False)}
+
 
 def terms(word: str) -> list[str]:
     """What is learned of a word: itself, and its beginnings."""
@@ -178,16 +189,25 @@ class Model:
 
 
 def _logistic(evidence: np.ndarray, toxic: np.ndarray, n: np.ndarray) -> tuple[float, float]:
-    """Weighted logistic fit with a weak pull towards the log odds themselves."""
+    """Weighted logistic fit with a weak pull towards the log odds themselves: Newton steps, halved
+    until they lower the loss."""
     x = np.column_stack((np.ones(len(evidence)), evidence))
-    w, ridge = np.array([-3.0, 1.0]), 0.01
-    for _ in range(50):
+    start, ridge = np.array([-3.0, 1.0]), 0.01
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float((n * (np.logaddexp(0, z) - toxic * z)).sum() + ridge / 2 * ((w - start) ** 2).sum())
+
+    w = start
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
-        gradient = x.T @ (n * (toxic - p)) - ridge * (w - [-3.0, 1.0])
+        gradient = x.T @ (n * (toxic - p)) - ridge * (w - start)
         hessian = (x * (n * p * (1 - p))[:, None]).T @ x + ridge * np.eye(2)
-        step = np.linalg.solve(hessian, gradient)
-        w = w + np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-9:
+        step, now = np.linalg.solve(hessian, gradient), loss(w)
+        while loss(w + step) > now and np.abs(step).max() > 1e-9:
+            step = step / 2
+        w = w + step
+        if np.abs(step).max() <= 1e-9:
             break
     return float(w[0]), float(w[1])
 
@@ -211,28 +231,34 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, top: int = TER
     learned = stored(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id").select("toxic", "text"), "labelled")
     shared = spark.sparkContext.broadcast(restorer)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def use(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, str] = {}
         for batch in batches:
-            by = {0: Counter(), 1: Counter()}
-            for toxic, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
-                by[int(toxic == 1)].update({t for w in shared.value.words(text, memo) for t in terms(w)})
-            for toxic, seen in by.items():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(seen), pa.string()), pa.array([toxic] * len(seen), pa.int32()), pa.array(list(seen.values()), pa.int64())],
-                    ["term", "toxic", "n"],
-                )
-
-    totals = {r.toxic: r.n for r in learned.groupBy((F.col("toxic") == 1).alias("toxic")).agg(F.count("*").alias("n")).collect()}
-    ones, zeros = totals.get(True, 0), totals.get(False, 0)
+            for start in range(0, batch.num_rows, 500):
+                some = batch.slice(start, 500)
+                seen = {0: set(), 1: set()}
+                for toxic, text in zip(some.column(0).to_pylist(), texts_of(some.column(1)), strict=True):
+                    seen[int(toxic == 1)] |= shared.value.uses(text, memo)
+                for toxic, pairs in seen.items():
+                    words, beside = zip(*pairs, strict=True) if pairs else ((), ())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(words, pa.string()), pa.array(beside, pa.int64()), pa.array([toxic] * len(words), pa.int32())],
+                        ["word", "beside", "toxic"],
+                    )
+
+    uses = learned.mapInArrow(use, "word string, beside long, toxic int").distinct()
+    totals = {r.toxic: r["count"] for r in uses.groupBy("toxic").count().collect()}
+    ones, zeros = totals.get(1, 0), totals.get(0, 0)
     if not ones or not zeros:
         return Model(restorer, {}, -3.0, 1.0)
-    seen = learned.mapInArrow(count, "term string, toxic int, n long").groupBy("term").agg(
-        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
-        F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b"),
-    )
+    word = F.col("word")
+    begun = [F.when(F.length(word) >= n, F.concat(F.substring(word, 1, n), F.lit("*"))) for n in BEGINNINGS]
+    counted = uses.groupBy("word").agg(
+        F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")
+    ).select(F.explode(F.array_compact(F.array(word, *begun))).alias("term"), "a", "b")
+    seen = counted.groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     weight = F.log((F.col("a") + 0.5) / (ones + 1)) - F.log((F.col("b") + 0.5) / (zeros + 1))
-    kept = seen.where(F.col("a") >= max(SUPPORT, 0.005 * ones)).select("term", "a", weight.alias("odds")).where(F.col("odds") >= ODDS)
+    kept = seen.where(F.col("a") >= SUPPORT).select("term", "a", weight.alias("odds")).where(F.col("odds") >= ODDS)
     best = kept.orderBy((F.col("odds") * F.sqrt("a")).desc(), "term").limit(top).collect()
     model = Model(restorer, {r.term: r.odds for r in best}, -3.0, 1.0)
     # the fit needs counts by rounded evidence only
