@@ -42,6 +42,11 @@ HEADLINE = [
     "linear_attribution",
     "typed_payload_rows",
     "csv_round_trip",
+    "forest_forecast",
+    "tree_fit_metrics",
+    "kernel_cv_averages",
+    "sampled_shapley",
+    "streamed_append",
 ]
 
 

@@ -87,7 +87,10 @@ def sampled_shapley(
     return (
         scored.select(key, time, "_x", F.explode(gains).alias("_g"))
         .groupBy(key, time, "_g.j")
-        .agg((F.sum("_g.gain") / permutations).alias("phi"), F.first("_x").alias("_x"))
+        .agg(
+            F.when(F.count("_g.gain") == F.count("*"), F.sum("_g.gain") / permutations).alias("phi"),
+            F.first("_x").alias("_x"),
+        )
         .select(
             key,
             time,

@@ -23,6 +23,7 @@ from hazecast.operators.layout import SLOT, Series, lay_out
 from hazecast.schemas import FEATURES, TARGET
 from hazecast.session import settle
 
+# fixed values: the settings of the models that are compared
 COST, GAMMA, EPSILON = 100.0, 0.1, 0.1
 COMPONENTS = 512
 ROUNDS = 10

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hazecast.functions.columns import is_hazardous, row_mean
 from hazecast.models import attribution, kernel, linear, score, trees
 from hazecast.models.evaluate import cv_average
 from hazecast.models.folds import SPLITS, with_blocks, with_holdout, with_random_split
 from hazecast.operators import frames
+from hazecast.operators.windows import horizon_features
 from hazecast.plans.analysis import BLOCK_SQL
 from hazecast.plans.common import (
     DAYS,
@@ -20,7 +22,7 @@ from hazecast.plans.common import (
 )
 from hazecast.plans.registry import query
 from hazecast.plans.sql import with_series
-from hazecast.schemas import FEATURES, TARGET
+from hazecast.schemas import FEATURES, PREDICTIONS, TARGET
 from hazecast.session import new_folder, settle, stored
 from hazecast.sources import files
 from hazecast.sources.tables import series_days
@@ -273,6 +275,49 @@ def forest_forecast(spark, folder):
     return score.forecasts(settle(frame), forest=forest, ridge=ridge, series=DAYS)
 
 
+@query()
+def three_model_forecast(spark, folder):
+    """Forest, ridge and kernel regression of every city on the forecast frame, with the alert."""
+    history, ahead = history_and_forecast(spark, folder)
+    features = files.station_table(complete_days(spark, folder), DAYS)
+    forest = trees.fit_trees(features, trees.random_forest(), FEATURES, TARGET, DAYS)
+    ridge = settle(linear.fit_ridge(features, FEATURES, TARGET, DAYS))
+    support = kernel.fit_kernel(features, FEATURES, TARGET, LARGE_SLOTS)
+    frame = settle(frames.forecast_frame(history, ahead, DAYS))
+    made = score.forecasts(frame, forest=forest, ridge=ridge, kernel=support, series=LARGE_SLOTS)
+    return made.withColumn("hazardous", is_hazardous(F.greatest(*PREDICTIONS)))
+
+
+SIX = ["hour", "day", "month", "pm10", "pm2_5", "aqi_change"]
+
+
+@query()
+def horizon_forecast(spark, folder):
+    """The 72-steps-ahead model: the newest row of every city, its prediction and the alert."""
+    table = stored(horizon_features(series_days(spark, folder), DAYS, rows=frames.HORIZON_ROWS), "horizon")
+    models = settle(linear.fit_ridge(table, SIX, "target_aqi", DAYS)).where(F.col("fold") == linear.REFIT)
+    newest = frames.last_rows(table.where(F.col("aqi_change").isNotNull()), 1, DAYS)
+    scored = linear.score_linear(newest, models, SIX, DAYS, name="predicted_aqi")
+    return scored.select("city", "date", TARGET, "predicted_aqi", is_hazardous("predicted_aqi").alias("hazardous"))
+
+
+@query()
+def five_feature_model(spark, folder):
+    """The older trainer: unscaled ridge of the mean pollutant reading on five columns, by city."""
+    days = series_days(spark, folder)
+    table = days.withColumns(
+        {
+            "hour": F.hour("date"),
+            "day": F.dayofmonth("date"),
+            "month": F.month("date"),
+            "mean_reading": row_mean("pm10", "pm2_5", "carbon_monoxide", "ozone", "nitrogen_dioxide", "sulphur_dioxide"),
+        }
+    )
+    five = ["pm10", "pm2_5", "hour", "day", "month"]
+    fit = linear.fit_ridge(stored(table, "five"), five, "mean_reading", DAYS, scaled=False)
+    return linear.coefficient_rows(fit, DAYS)
+
+
 @query()
 def tree_fit_metrics(spark, folder):
     """Cross-validation of a single decision tree."""

@@ -15,6 +15,7 @@ POLLUTANTS = [
     "dust",
     "uv_index",
 ]
+# fixed values: names in the stored tables
 TARGET = "us_aqi"
 READINGS = [*POLLUTANTS, TARGET]
 CALENDAR = ["hour", "day_of_week", "month"]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hazecast.schemas import READINGS
 
+# fixed values: names, codes and coordinates of the stored cities
 CITY_CODES = {"Karachi": 0, "Islamabad": 1, "Lahore": 2}
 CITY_COORDINATES = {
     "Karachi": (24.8607, 67.0011),

@@ -216,3 +216,31 @@ def test_all_models_side_by_side(spark):
     assert got.columns == ["date", "city", "random_forest_pred", "ridge_pred", "svr_pred"]
     assert got.count() == 2 and got.dropna().count() == 2
     assert score.forecasts(df, ridge=parts["ridge"], features=NAMES, series=SERIES).columns == ["date", "city", "ridge_pred"]
+
+
+def test_saved_trees_come_back_and_other_stations_score_null(spark, tmp_path):
+    from hazecast.models import trees
+
+    df = spark.createDataFrame(training(40)).withColumn("city", F.concat(F.lit("a/b "), "city"))
+    names = sorted(r.city for r in df.select("city").distinct().collect())
+    fitted = trees.fit_trees(df, trees.random_forest(trees=2, depth=3), NAMES, series=SERIES, names=names[:1])
+    trees.save_trees(fitted, f"{tmp_path}/trees")
+    loaded = trees.load_trees(spark, f"{tmp_path}/trees")
+    assert list(loaded) == names[:1]
+    scored = trees.score_trees(df, loaded, NAMES, SERIES).toPandas()
+    assert len(scored) == df.count()
+    assert scored.loc[scored.city == names[0], "random_forest_pred"].notna().all()
+    assert scored.loc[scored.city != names[0], "random_forest_pred"].isna().all()
+    assert trees.score_trees(df, {}, NAMES, SERIES).where("random_forest_pred IS NULL").count() == df.count()
+
+
+def test_rows_without_background_have_null_values(spark):
+    df = spark.createDataFrame(training(30))
+    names = sorted(r.city for r in df.select("city").distinct().collect())
+
+    def scorer(rows):
+        return rows.withColumn("pred", sum(F.col(c) for c in NAMES))
+
+    phis = attribution.sampled_shapley(df, df.where(F.col("city") == names[0]), NAMES, scorer, SERIES, permutations=3).toPandas()
+    assert len(phis) == df.count() * len(NAMES)
+    assert phis.loc[phis.city == names[0], "phi"].notna().all() and phis.loc[phis.city != names[0], "phi"].isna().all()

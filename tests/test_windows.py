@@ -164,3 +164,17 @@ def test_measured_slots_beyond_the_broadcast_bound(spark, monkeypatch):
     df = to_spark(spark, random_series(16))
     got = windows.station_features(df, Series(slot_seconds=None, rows_per_slot=60)).toPandas()
     compare(got, expected_features(random_series(16), "drop"), MEMORY)
+
+
+@pytest.mark.parametrize("series", [Series(slot_seconds=7 * DAY), Series(slot_seconds=None, rows_per_slot=200)])
+def test_input_is_scanned_and_shuffled_once(spark, tmp_path, series):
+    """The feature table reads its input once, and its edge rows from the exchange of the main rows."""
+    hours = spark.range(3000).selectExpr(
+        "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, cast(id AS int)) AS date", "cast(id % 97 AS double) AS us_aqi", "'a' AS city"
+    )
+    hours.write.parquet(f"{tmp_path}/hours")
+    featured = windows.station_features(spark.read.parquet(f"{tmp_path}/hours"), series)
+    featured.collect()
+    plan = featured._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") == 1
+    assert plan.count("FileScan parquet") == 1
