@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from hazecast.llm.common import chunks, replaced, texts_of
 
-MEMO = 400_000  # pre-tokens a task remembers before it starts anew
+MEMO = 200_000  # pre-tokens a task remembers before it starts anew
 SPREAD, MIX, ALL = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, (1 << 64) - 1  # odd multipliers of the perfect hash
 
 
