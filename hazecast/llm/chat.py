@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazecast.session import stored
+from hazecast.session import new_folder, stored
 
 #: Kinds of JSON values by the type that a variant reports.
 KINDS = {
@@ -58,20 +58,21 @@ def depths(calls: DataFrame, links: DataFrame) -> DataFrame:
     known = calls.select(F.col("conv_id"), F.col("call_id").alias("after"))
     links = links.where("call_id <> after").join(known, ["conv_id", "after"]).distinct()
     links = stored(links, "waits")
-    waits = links.groupBy(*key).agg(F.count("*").alias("waits"))
-    state = calls.select(*key).join(waits, key, "left").select(*key, F.coalesce("waits", F.lit(0)).alias("waits"))
-    state = stored(state.withColumn("depth", F.when(F.col("waits") == 0, 0)), "depths")
-    level = 0
-    while not state.where(F.col("depth") == level).isEmpty() and not state.where(F.col("depth").isNull()).isEmpty():
-        last = state.where(F.col("depth") == level).select("conv_id", F.col("call_id").alias("after"))
-        ready = links.join(last, ["conv_id", "after"]).groupBy(*key).agg(F.count("*").alias("met"))
+    waiting = stored(links.groupBy(*key).agg(F.count("*").alias("waits")), "waiting")
+    spark, found = calls.sparkSession, new_folder(calls.sparkSession, "depths")
+    calls.select(*key).join(waiting, key, "left_anti").withColumn("depth", F.lit(0)).write.parquet(found)
+    last, level = spark.read.parquet(found), 0
+    while not waiting.isEmpty() and not last.isEmpty():
+        # only calls that still wait are looked at again
         level += 1
+        met = links.join(last.select("conv_id", F.col("call_id").alias("after")), ["conv_id", "after"])
+        met = met.groupBy(*key).agg(F.count("*").alias("met"))
         left = F.col("waits") - F.coalesce("met", F.lit(0))
-        state = state.join(ready, key, "left").select(
-            *key, left.alias("waits"), F.when(F.col("met").isNotNull() & (left == 0), level).otherwise(F.col("depth")).alias("depth")
-        )
-        state = stored(state, "depths")
-    return state.select(*key, "depth")
+        step = stored(waiting.join(met, key, "left").select(*key, left.alias("waits")), "waiting")
+        last, waiting = step.where("waits = 0"), step.where("waits > 0")
+        last.select(*key, F.lit(level).alias("depth")).write.mode("append").parquet(found)
+    waiting.select(*key, F.lit(None).cast("int").alias("depth")).write.mode("append").parquet(found)
+    return spark.read.parquet(found)
 
 
 def _json(**fields: Column) -> Column:
