@@ -52,7 +52,7 @@ SUPPORT = 5  # different uses in toxic documents that a term must have
 ODDS = math.log(8)
 BEGINNINGS = (4, 5, 6)
 TELLING = 3  # words of a text that its evidence is the sum of
-MEMO = 300_000
+MEMO = 60_000
 
 
 def _classes() -> np.ndarray:
@@ -234,8 +234,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, top: int = TER
     def use(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, str] = {}
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                some = batch.slice(start, 500)
+            for start in range(0, batch.num_rows, 100):
+                some = batch.slice(start, 100)
                 seen = {0: set(), 1: set()}
                 for toxic, text in zip(some.column(0).to_pylist(), texts_of(some.column(1)), strict=True):
                     seen[int(toxic == 1)] |= shared.value.uses(text, memo)
