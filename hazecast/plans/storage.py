@@ -13,7 +13,7 @@ from hazecast.plans.features import ALL, STD
 from hazecast.plans.registry import query
 from hazecast.plans.sql import FEATURES, not_null, rounded_std, with_series
 from hazecast.schemas import RAW_HOURS, READINGS
-from hazecast.session import new_folder
+from hazecast.session import new_folder, stored
 from hazecast.sources import files, payloads
 from hazecast.sources.tables import series_days, shipment_ticks
 from hazecast.streaming.append import FeatureStore, append_stream
@@ -111,18 +111,22 @@ def streamed_append(spark, folder):
 @query(
     with_series(
         f"SELECT {rounded_std()} FROM f WHERE {not_null(ALL)}",
-        f=f"SELECT *, {FEATURES} FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY city ORDER BY date) AS i "
-        "FROM series_days) WHERE i <= 150)",
+        f=f"SELECT *, {FEATURES} FROM series_days",
     )
 )
 def streamed_new_stations(spark, folder):
-    """Stations unknown to the store, whose days come in drops too short for any feature."""
+    """Stations unknown to the store, whose first days come in drops too short for any feature, all
+    others in two long ones."""
     base = new_folder(spark, "stream")
-    placed = row_positions(series_days(spark, folder), DAYS).where("_pos < 150")
+    placed = row_positions(series_days(spark, folder), DAYS)
     raw = lift(placed.withColumn("date", F.col("date").cast("timestamp"))).select("date", *READINGS, "city", "_pos")
+    raw = stored(raw, "days")
     drops = f"{base}/drops"
     store = FeatureStore(spark, f"{base}/store", DAYS)
-    for begin in range(0, 150, 30):
-        raw.where(F.col("_pos").between(begin, begin + 29)).drop("_pos").write.mode("append").parquet(drops)
+    begins = [0, 30, 60, 90, 120, 150, 600]
+    for begin, end in zip(begins, [*begins[1:], None], strict=True):
+        drop = raw.where(F.col("_pos") >= begin)
+        drop = drop if end is None else drop.where(F.col("_pos") < end)
+        drop.drop("_pos").write.mode("append").parquet(drops)
         append_stream(store, drops, f"{base}/progress", once=True).awaitTermination()
     return rounded(_naive(store.read()), STD).select(*ALL)

@@ -189,3 +189,11 @@ def test_files_in_local_time_become_features(spark, tmp_path):
     local = rows.select(F.col("local_date").alias("date"), F.col("pm10").alias("us_aqi"), "city")
     featured = windows.station_features(local)
     assert featured.orderBy("date").first()["hour"] == 0 and featured.count() == 12
+
+
+def test_new_stations_are_streamed_to_their_last_day(spark, small):
+    from hazecast.plans import QUERIES
+
+    got = QUERIES["streamed_new_stations"].build(spark, small).groupBy("city").agg(F.count("*").alias("rows"), F.max("date").alias("last"))
+    whole = series_days(spark, small).groupBy("city").agg((F.count("*") - 48).alias("rows"), F.max("date").cast("timestamp_ntz").alias("last"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole.collect()))
