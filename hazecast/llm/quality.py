@@ -28,11 +28,12 @@ BLANKS = " \t\n\r\x0b\x0c"
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
 #: Metric: (dividend, divisor, least range that counts as spread, whether small values fail too).
+#: REACH times the least range of ``repeat_ratio`` lies below the fixed cutoff of 20 %, so that its fence can reject.
 METRICS = {
     "word_length": ("word_chars", "n_words", 0.5, True),
     "symbol_ratio": ("n_symbols", "n_words", 0.05, False),
-    "dup_line_ratio": ("n_dup_lines", "n_lines", 0.1, False),
-    "repeat_ratio": ("n_repeat_words", "n_words", 0.05, False),
+    "dup_line_ratio": ("n_dup_lines", "n_lines", 0.02, False),
+    "repeat_ratio": ("n_repeat_words", "n_words", 0.01, False),
 }
 
 

@@ -78,3 +78,21 @@ def test_clean_documents_stay_and_junk_goes(spark, small):
     bad = verdicts[verdicts.quality == 0]
     assert good.kept.mean() >= 0.95 and bad.kept.mean() <= 0.2
     assert filtered(docs).count() == judged(docs).where("kept").count()
+
+
+def test_repeaters_in_a_clean_group_go(spark):
+    def text(i, words=200, repeated=0, same_lines=0):
+        own = [f"w{i}x{j}" for j in range(words - repeated)]
+        width = words if repeated else 10
+        own += own[: repeated // 2] * 2
+        lines = [" ".join(own[j : j + width]) for j in range(0, len(own), width)]
+        return "\n".join(lines + ["end"] * same_lines)
+
+    rows = [(i, text(i), "en", "a") for i in range(300)]
+    rows += [(1000, text(1000, repeated=20), "en", "a"), (1001, text(1001, same_lines=13), "en", "a")]
+    got = {r.doc_id: r for r in judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert 0.13 <= got[1000].n_repeat_words / got[1000].n_words <= 0.17
+    assert not got[1000].base_failed and not got[1001].base_failed
+    assert got[1000].broken == ["repeat_ratio"] and not got[1000].kept
+    assert "dup_line_ratio" in got[1001].broken
+    assert all(got[i].kept for i in range(300))
