@@ -35,11 +35,11 @@ def op2_chat(spark: SparkSession, folder: str) -> DataFrame:
     messages = table(spark, folder, "conversations")
     name = F.concat("conv_id", F.lit("-"), "turn")
     before = F.array(F.concat(F.lit("c"), "conv_id", F.lit("-"), F.col("turn") - 2))
-    text, size = F.substring("text", 1, 20), F.length("text")
+    text, size = F.col("text"), F.length("text")
     arguments = (
         F.when(size % 11 == 0, '{"count": ')
-        .when(size % 5 == 0, F.to_json(F.struct(text.alias("text"), size.cast("string").alias("count"))))
-        .otherwise(F.to_json(F.struct(text.alias("text"), size.alias("count"), before.alias("after"))))
+        .when(size % 5 == 0, F.to_json(F.struct(text, size.cast("string").alias("count"))))
+        .otherwise(F.to_json(F.struct(text, size.alias("count"), before.alias("after"))))
     )
     tool = F.when(F.contains("text", F.lit("\n")), "lines").otherwise("words")
     made = messages.where("role = 'assistant'").withColumn("call_id", F.concat(F.lit("c"), name))
@@ -65,8 +65,8 @@ WITH RECURSIVE made AS (
   SELECT *, CASE WHEN size % 11 = 0 THEN 'not a JSON object' WHEN size % 5 = 0 THEN 'count is no integer'
                  WHEN size % 7 = 0 THEN 'no result' ELSE 'ok' END AS status,
          CASE WHEN size % 11 = 0 THEN '{"count": '
-              WHEN size % 5 = 0 THEN '{"count":"' || size || '","text":' || to_json(text[:20]) || '}'
-              ELSE '{"after":["c' || conv_id || '-' || (turn - 2) || '"],"count":' || size || ',"text":' || to_json(text[:20]) || '}'
+              WHEN size % 5 = 0 THEN '{"count":"' || size || '","text":' || to_json(text) || '}'
+              ELSE '{"after":["c' || conv_id || '-' || (turn - 2) || '"],"count":' || size || ',"text":' || to_json(text) || '}'
          END AS arguments
   FROM depths
 )

@@ -86,3 +86,20 @@ def test_links_statuses_and_lines(spark):
 
 def test_empty_tables(spark):
     assert lines(spark, [], []) == {}
+
+
+def test_calls_of_the_query_hold_whole_turns(spark, small):
+    from hazecast.llm.queries import op2_chat
+
+    lines = op2_chat(spark, small).where("kind = 'call'").select("conv_id", "turn", "line").collect()
+    said = spark.read.parquet(f"{small}/conversations.parquet").where("role = 'assistant'").collect()
+    whole = {(r.conv_id, r.turn): r.text for r in said}
+    found = 0
+    for r in lines:
+        try:
+            arguments = json.loads(json.loads(r.line)["arguments"])
+        except ValueError:
+            continue
+        found += 1
+        assert arguments["text"] == whole[r.conv_id, r.turn]
+    assert found > 0.8 * len(whole)
