@@ -9,11 +9,13 @@ however long, has to be gathered to be ordered.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazecast.session import new_folder, stored
 
+RANK = "_rank"
+
 #: Kinds of JSON values by the type that a variant reports.
 KINDS = {
     "string": ["STRING"],
@@ -80,6 +82,12 @@ def _json(**fields: Column) -> Column:
     return F.to_json(struct, {"ignoreNullFields": "false"})
 
 
+def _ranked(df: DataFrame, key: list[str], values: list[str]) -> DataFrame:
+    """Different rows, numbered within their key."""
+    order = Window.partitionBy(*key).orderBy(*values)
+    return df.select(*key, *values).distinct().withColumn(RANK, F.row_number().over(order))
+
+
 def formatted(
     messages: DataFrame,
     calls: DataFrame,
@@ -96,41 +104,49 @@ def formatted(
     Status: ``ok``; ``no result`` or ``no call`` where the other half is missing (a result without
     call has neither turn nor step); ``circle`` for calls that wait for themselves in the end (no
     step); else what is wrong with the arguments, which are then given as the text they are.
-    Calls or results with the same conversation and identifier are one, the smallest; those
-    without either are not linked to anything and count as missing their other half. Messages
-    all stay, repeated ones too; empty tables give no lines.
+    Calls or results without conversation or identifier are not linked to anything and count as
+    missing their other half. Fully equal calls or results of one identifier are one. Of those
+    that differ the smallest (turn first) is linked; every other has its own line: a
+    ``duplicate call`` in its own turn, at the step of the linked one, and a ``duplicate result`` beside
+    the linked one. Results carry no turn, so those of an identifier used again all stand with its
+    first call. Messages all stay, repeated ones too; empty tables give no lines.
     """
     key = ["conv_id", "call_id"]
     named = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
-    one = calls.where(named).groupBy(*key).agg(F.min(F.struct("turn", "name", "arguments")).alias("c")).select(*key, "c.*")
-    one = stored(one, "calls")
+    told = stored(_ranked(calls.where(named), key, ["turn", "name", "arguments"]), "calls")
+    one = told.where(F.col(RANK) == 1)
     waits = F.from_json(F.get_json_object("arguments", f"$.{after}"), "array<string>")
-    placed = one.join(depths(one, one.select(*key, F.explode(waits).alias("after"))), key)
-    answers = results.where(named).groupBy(*key).agg(F.min(F.struct("content")).alias("r")).select(*key, F.col("r.content").alias("content"), F.lit(True).alias("answered"))
-    linked = placed.join(answers.withColumnsRenamed({"conv_id": "_c", "call_id": "_i"}), (F.col("conv_id") == F.col("_c")) & (F.col("call_id") == F.col("_i")), "full")
+    placed = told.join(depths(one, one.select(*key, F.explode(waits).alias("after"))), key)
+    answers = _ranked(results.where(named), key, ["content"]).withColumn("answered", F.lit(True))
+    answers = answers.withColumnsRenamed({"conv_id": "_c", "call_id": "_i", RANK: "_r"})
+    # the first call meets all results of its identifier; the later calls meet none
+    same = (F.col("conv_id") == F.col("_c")) & (F.col("call_id") == F.col("_i")) & (F.col(RANK) == 1)
+    linked = placed.join(answers, same, "full")
     wrong = problem(F.col("name"), F.col("arguments"), schemas)
     is_call = F.col("call_id").isNotNull()
     status = (
         F.when(~is_call, "no call")
+        .when(F.col(RANK) > 1, "duplicate call")
         .when(F.col("depth").isNull(), "circle")
         .when(wrong.isNotNull(), wrong)
         .when(F.col("answered").isNull(), "no result")
         .otherwise("ok")
     )
+    answer_status = F.when(is_call & (F.col("_r") > 1), "duplicate result").otherwise(status)
     call_line = _json(role=F.lit("assistant"), id=F.col("call_id"), name=F.col("name"), arguments=F.coalesce(canonical(F.col("arguments")), F.col("arguments")))
     result_line = _json(role=F.lit("tool"), id=F.coalesce("call_id", "_i"), content=F.col("content"))
     lines = F.array_compact(
         F.array(
-            F.when(is_call, F.struct((1 + 2 * F.col("depth")).alias("step"), F.lit("call").alias("kind"), call_line.alias("line"))),
+            F.when(is_call & (F.coalesce("_r", F.lit(1)) == 1), F.struct(status.alias("status"), (1 + 2 * F.col("depth")).alias("step"), F.lit("call").alias("kind"), call_line.alias("line"))),
             F.when(
                 F.col("answered"),
-                F.struct((2 + 2 * F.col("depth")).alias("step"), F.lit("result").alias("kind"), result_line.alias("line")),
+                F.struct(answer_status.alias("status"), (2 + 2 * F.col("depth")).alias("step"), F.lit("result").alias("kind"), result_line.alias("line")),
             ),
         )
     )
     tools = linked.select(
-        F.coalesce("conv_id", "_c").alias("conv_id"), "turn", F.coalesce("call_id", "_i").alias("call_id"), status.alias("status"), F.explode(lines).alias("l")
-    ).select("conv_id", "turn", "l.step", "l.kind", "call_id", "status", "l.line")
+        F.coalesce("conv_id", "_c").alias("conv_id"), "turn", F.coalesce("call_id", "_i").alias("call_id"), F.explode(lines).alias("l")
+    ).select("conv_id", "turn", "l.step", "l.kind", "call_id", "l.status", "l.line")
     loose_calls = calls.where(~named).select(
         "conv_id", "turn", F.lit(1).alias("step"), F.lit("call").alias("kind"), "call_id", F.lit("no result").alias("status"),
         _json(role=F.lit("assistant"), id=F.col("call_id"), name=F.col("name"), arguments=F.coalesce(canonical(F.col("arguments")), F.col("arguments"))).alias("line"),

@@ -103,3 +103,19 @@ def test_calls_of_the_query_hold_whole_turns(spark, small):
         found += 1
         assert arguments["text"] == whole[r.conv_id, r.turn]
     assert found > 0.8 * len(whole)
+
+
+def test_an_identifier_used_again_loses_nothing(spark):
+    calls = [(1, t, "call_0", "find", json.dumps({"q": f"turn {t}"})) for t in (1, 1, 3, 5)]
+    results = [(1, "call_0", f"answer {t}") for t in (1, 3, 3, 5)] + [(1, "x", "a"), (1, "x", "b")]
+    df = formatted(
+        spark.createDataFrame([], "conv_id long, turn long, role string, text string"),
+        spark.createDataFrame(calls, CALLS),
+        spark.createDataFrame(results, "conv_id long, call_id string, content string"),
+        SCHEMAS,
+    )
+    rows = df.collect()
+    assert sorted((r.turn, r.step, r.status) for r in rows if r.kind == "call") == [(1, 1, "ok"), (3, 1, "duplicate call"), (5, 1, "duplicate call")]
+    found = sorted((json.loads(r.line)["content"], r.turn, r.step, r.status) for r in rows if r.kind == "result" and r.call_id == "call_0")
+    assert found == [("answer 1", 1, 2, "ok"), ("answer 3", 1, 2, "duplicate result"), ("answer 5", 1, 2, "duplicate result")]
+    assert [(r.status, r.turn) for r in rows if r.call_id == "x"] == [("no call", None)] * 2
