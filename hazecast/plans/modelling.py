@@ -202,6 +202,66 @@ def ridge_normal_equations(spark, folder):
     return rounded(found.withColumn("worst", F.abs("worst")), {"worst": 4})
 
 
+def _all_by_refit(spark, folder):
+    """Complete rows and the refitted model on all features of every city."""
+    features = stored_days(spark, folder)
+    models = settle(linear.fit_ridge(features, FEATURES, TARGET, DAYS))
+    return features, models.where(F.col("fold") == linear.REFIT)
+
+
+@query()
+def linear_attribution_all_features(spark, folder):
+    features, refit = _all_by_refit(spark, folder)
+    return linear.linear_attribution(features, refit, FEATURES, DAYS)
+
+
+@query(with_series("SELECT date, city, cast(16 AS bigint) AS features, 0.0::DOUBLE AS gap FROM complete", **DAY_VIEWS))
+def linear_attribution_adds_up(spark, folder):
+    """The values of a row less its prediction plus the mean prediction of its city."""
+    features, refit = _all_by_refit(spark, folder)
+    phis = linear.linear_attribution(features, refit, FEATURES, DAYS)
+    sums = phis.groupBy("city", "date").agg(F.sum("phi").alias("phi"), F.count("phi").alias("features"))
+    scored = settle(linear.score_linear(features, refit, FEATURES, DAYS).select("city", "date", "ridge_pred"))
+    base = scored.groupBy("city").agg(F.avg("ridge_pred").alias("base"))
+    joined = sums.join(scored, ["city", "date"]).join(F.broadcast(base), "city")  # a row per city
+    gap = F.abs(F.round(F.col("phi") - F.col("ridge_pred") + F.col("base"), 4))
+    return joined.select("date", "city", "features", gap.alias("gap"))
+
+
+@query()
+def attribution_ranking_all_features(spark, folder):
+    """Ranks 1 to 16 of every city."""
+    features, refit = _all_by_refit(spark, folder)
+    return attribution.ranked_attribution(linear.linear_attribution(features, refit, FEATURES, DAYS))
+
+
+@query(
+    with_series(
+        "SELECT date, city, 0.0::DOUBLE AS stored_gap, 0.0::DOUBLE AS newest_gap FROM "
+        "(SELECT *, row_number() OVER (PARTITION BY city ORDER BY date DESC) AS back FROM complete) WHERE back = 1 "
+        "UNION ALL SELECT date, city, 0.0::DOUBLE, NULL FROM "
+        "(SELECT *, row_number() OVER (PARTITION BY city ORDER BY date DESC) AS back FROM complete) WHERE back > 1",
+        **DAY_VIEWS,
+    )
+)
+def stored_scores_all_features(spark, folder):
+    """Scores of every row by the stored model, and of the newest rows by themselves, less the
+    prediction written out over the arrays of the fitted model."""
+    features, refit = _all_by_refit(spark, folder)
+    path = new_folder(spark, "models")
+    files.write_models(refit, path)
+    models = files.read_models(spark, path)
+    again = linear.score_linear(features, models, linear.stored_features(models), DAYS).select("city", "date", "ridge_pred")
+    newest = score.latest_forecast(features, DAYS, ridge=refit).withColumnRenamed("ridge_pred", "newest")
+    z = F.zip_with(F.zip_with(F.array(*FEATURES), "means", lambda x, m: x - m), "scales", lambda x, s: x / s)
+    terms = F.zip_with(z, "coefs", lambda a, b: a * b)
+    direct = F.col("intercept") + F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)
+    written = features.join(F.broadcast(refit), "city").select("city", "date", direct.alias("direct"))  # a row per city
+    joined = written.join(again, ["city", "date"], "left").join(newest, ["city", "date"], "left")
+    gaps = {n: F.abs(F.round(F.col(c) - F.col("direct"), 4)).alias(n) for n, c in (("stored_gap", "ridge_pred"), ("newest_gap", "newest"))}
+    return joined.select("date", "city", *gaps.values())
+
+
 @query()
 def ridge_cv_averages(spark, folder):
     _, metrics = linear.cross_validated_ridge(stored_days(spark, folder), FEATURES, TARGET, DAYS)

@@ -244,3 +244,13 @@ def test_rows_without_background_have_null_values(spark):
     phis = attribution.sampled_shapley(df, df.where(F.col("city") == names[0]), NAMES, scorer, SERIES, permutations=3).toPandas()
     assert len(phis) == df.count() * len(NAMES)
     assert phis.loc[phis.city == names[0], "phi"].notna().all() and phis.loc[phis.city != names[0], "phi"].isna().all()
+
+
+def test_every_feature_has_a_rank_in_every_city(spark, small):
+    from hazecast.plans import QUERIES
+    from hazecast.schemas import FEATURES
+
+    got = QUERIES["attribution_ranking_all_features"].build(spark, small).toPandas()
+    assert len(got) == 3 * len(FEATURES)
+    for _, own in got.groupby("city"):
+        assert sorted(own["rank"]) == list(range(1, 17)) and set(own["feature"]) == set(FEATURES)
