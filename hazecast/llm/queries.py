@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazecast.llm import byte_bpe, chat, embeddings, language, mixing, quality, repeats, simhash, token_counts, toxicity
+from hazecast.llm import byte_bpe, chat, embeddings, language, lines, mixing, quality, repeats, simhash, token_counts, toxicity
 from hazecast.llm.common import table
 from hazecast.session import new_folder
 
@@ -122,6 +122,26 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(table(spark, folder, "documents"))
 
 
+def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    clean = lines.deduplicated(table(spark, folder, "documents"))
+    return clean.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+OP12_SQL = """
+WITH lines AS (
+  SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(split) AS line, generate_subscripts(split, 1) AS i
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS split FROM documents))
+), owners AS (
+  SELECT key, min(doc_id) AS owner FROM lines WHERE length(key) >= 10 GROUP BY key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (doc_id <> owner) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (owner IS NULL OR doc_id = owner), '')) AS kept_sha256
+FROM lines LEFT JOIN owners USING (key) GROUP BY doc_id
+"""
+
+
 OP3_SQL = """
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents
@@ -163,4 +183,5 @@ QUERIES: dict[str, tuple[Build, str | None]] = {
     "op8_token_counts": (op8_token_counts, None),
     "op9_repeats": (op9_repeats, None),
     "op10_quality": (op10_quality, None),
+    "op12_line_dedup": (op12_line_dedup, OP12_SQL),
 }
