@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazecast.llm import byte_bpe, chat, embeddings, language, lines, mixing, quality, repeats, simhash, token_counts, toxicity
+from hazecast.llm import byte_bpe, chat, embeddings, language, lines, mixing, quality, repair, repeats, simhash, token_counts, toxicity
 from hazecast.llm.common import table
 from hazecast.session import new_folder
 
@@ -142,6 +142,82 @@ FROM lines LEFT JOIN owners USING (key) GROUP BY doc_id
 """
 
 
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    return repair.report(repair.damaged(conversations), conversations)
+
+
+# the grammar as an automaton (0 nothing, 1 system, 2 user, 3 assistant), walked row by row for all
+# conversations at once; up to two insertions after each row
+OP13_SQL = """
+WITH RECURSIVE bits AS (
+  SELECT range AS byte, 0 AS round, range AS crc FROM range(256)
+  UNION ALL
+  SELECT byte, round + 1, CASE WHEN crc % 2 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END FROM bits WHERE round < 8
+), codes AS (
+  SELECT list(crc ORDER BY byte) AS codes FROM bits WHERE round = 8
+), keyed AS (
+  SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations
+), faulty AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(4294967295, list_reduce(list_prepend(4294967295, [ascii(c)::BIGINT FOR c IN string_split(key, '')]),
+                                     LAMBDA a, b: xor(a >> 8, codes[(xor(a, b) & 255) + 1]))) % 20 AS fault
+  FROM keyed, codes
+), damaged AS (
+  SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM faulty, unnest(CASE fault WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS times(time)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+  FROM damaged
+), turns AS (
+  SELECT *, role[1] AS initial, lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+         CASE WHEN bare = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+              WHEN bare[-1] NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault
+  FROM placed
+), counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM turns GROUP BY conv_id
+), walks AS (
+  SELECT conv_id, 0::BIGINT AS i, state, {'cost': cost::BIGINT, 'audit': audit} AS best
+  FROM counts, (VALUES (0, 0, ''), (2, 2, 'I'), (3, 4, 'II')) AS s(state, cost, audit)
+  UNION ALL
+  SELECT conv_id, i, state, min(best) FROM (
+    SELECT w.conv_id, t.i, ins.after AS state,
+           {'cost': w.best.cost + edit.cost + 2 * length(ins.audit), 'audit': w.best.audit || edit.audit || ins.audit} AS best
+    FROM walks w JOIN turns t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.i = w.i + 1
+    JOIN (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2), (0, 'D', 0), (1, 'D', 1), (2, 'D', 2), (3, 'D', 3)) AS move(state, letter, next)
+      ON move.state = w.state
+    CROSS JOIN LATERAL (SELECT CASE WHEN letter = 'D' THEN 3 ELSE (CASE letter WHEN t.initial THEN 0 ELSE 2 END) + (fault = 't')::INT END AS cost,
+                               CASE WHEN letter = 'D' THEN 'D' WHEN letter = t.initial THEN 'K' ELSE 'R' END AS audit
+                        WHERE letter = 'D' OR fault NOT IN ('b', 'd') AND (letter <> 's' OR t.initial = 's')) AS edit
+    JOIN (VALUES (0, '', 0), (1, '', 1), (2, '', 2), (3, '', 3), (0, 'I', 2), (1, 'I', 2), (2, 'I', 3), (3, 'I', 2),
+                 (0, 'II', 3), (1, 'II', 3), (2, 'II', 2), (3, 'II', 3)) AS ins(before, audit, after) ON ins.before = move.next
+  ) GROUP BY conv_id, i, state
+), found AS (
+  SELECT c.conv_id, min(w.best) AS best FROM counts c JOIN walks w ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.i = c.n AND w.state IN (0, 3)
+  GROUP BY c.conv_id
+), steps AS (
+  SELECT conv_id, k, audit[k] AS edit, length(replace(audit[:k], 'I', '')) AS i, length(replace(audit[k + 1:], 'D', '')) AS follow
+  FROM (SELECT conv_id, best.audit AS audit, unnest(range(1, length(best.audit) + 1)) AS k FROM found)
+), texts AS (
+  SELECT s.conv_id, string_agg((CASE WHEN edit = 'K' THEN role WHEN follow % 2 = 0 THEN 'assistant' ELSE 'user' END) || ':' ||
+                               (CASE WHEN edit = 'I' THEN '' ELSE text END), chr(10) ORDER BY k) AS repaired
+  FROM steps s LEFT JOIN turns t ON t.conv_id IS NOT DISTINCT FROM s.conv_id AND t.i = s.i AND s.edit <> 'I' WHERE edit <> 'D' GROUP BY s.conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost,
+       coalesce(best.audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN found f ON f.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
 OP3_SQL = """
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents
@@ -184,4 +260,5 @@ QUERIES: dict[str, tuple[Build, str | None]] = {
     "op9_repeats": (op9_repeats, None),
     "op10_quality": (op10_quality, None),
     "op12_line_dedup": (op12_line_dedup, OP12_SQL),
+    "op13_conversation_repair": (op13_conversation_repair, OP13_SQL),
 }
