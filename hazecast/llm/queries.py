@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazecast.llm import byte_bpe, chat, embeddings, language, lines, mixing, quality, repair, repeats, simhash, token_counts, toxicity
+from hazecast.llm import byte_bpe, chat, embeddings, language, lines, manifest, mixing, quality, repair, repeats, simhash, token_counts, toxicity
 from hazecast.llm.common import table
 from hazecast.session import new_folder
 
@@ -122,6 +122,11 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(table(spark, folder, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    proved = manifest.proofs(table(spark, folder, "documents"), found=manifest.tampered_text())
+    return proved.withColumn("proof", F.sha2("proof", 256)).withColumnRenamed("proof", "proof_sha256")
+
+
 def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     clean = lines.deduplicated(table(spark, folder, "documents"))
     return clean.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
@@ -147,21 +152,25 @@ def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.report(repair.damaged(conversations), conversations)
 
 
-# the grammar as an automaton (0 nothing, 1 system, 2 user, 3 assistant), walked row by row for all
-# conversations at once; up to two insertions after each row
-OP13_SQL = """
-WITH RECURSIVE bits AS (
+# crc32 has no SQL function here: its 256 codes, and a fold over the characters of a key
+CRC32_CODES = """bits AS (
   SELECT range AS byte, 0 AS round, range AS crc FROM range(256)
   UNION ALL
   SELECT byte, round + 1, CASE WHEN crc % 2 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END FROM bits WHERE round < 8
 ), codes AS (
   SELECT list(crc ORDER BY byte) AS codes FROM bits WHERE round = 8
-), keyed AS (
+)"""
+CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295, [ascii(c)::BIGINT FOR c IN string_split({key}, '')]),
+                                       LAMBDA a, b: xor(a >> 8, codes[(xor(a, b) & 255) + 1])))"""
+
+# the grammar as an automaton (0 nothing, 1 system, 2 user, 3 assistant), walked row by row for all
+# conversations at once; up to two insertions after each row
+OP13_SQL = f"""
+WITH RECURSIVE {CRC32_CODES}, keyed AS (
   SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations
 ), faulty AS (
   SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
-         xor(4294967295, list_reduce(list_prepend(4294967295, [ascii(c)::BIGINT FOR c IN string_split(key, '')]),
-                                     LAMBDA a, b: xor(a >> 8, codes[(xor(a, b) & 255) + 1]))) % 20 AS fault
+         {CRC32.format(key='key')} % 20 AS fault
   FROM keyed, codes
 ), damaged AS (
   SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
@@ -182,12 +191,12 @@ WITH RECURSIVE bits AS (
          count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
   FROM turns GROUP BY conv_id
 ), walks AS (
-  SELECT conv_id, 0::BIGINT AS i, state, {'cost': cost::BIGINT, 'audit': audit} AS best
+  SELECT conv_id, 0::BIGINT AS i, state, {{'cost': cost::BIGINT, 'audit': audit}} AS best
   FROM counts, (VALUES (0, 0, ''), (2, 2, 'I'), (3, 4, 'II')) AS s(state, cost, audit)
   UNION ALL
   SELECT conv_id, i, state, min(best) FROM (
     SELECT w.conv_id, t.i, ins.after AS state,
-           {'cost': w.best.cost + edit.cost + 2 * length(ins.audit), 'audit': w.best.audit || edit.audit || ins.audit} AS best
+           {{'cost': w.best.cost + edit.cost + 2 * length(ins.audit), 'audit': w.best.audit || edit.audit || ins.audit}} AS best
     FROM walks w JOIN turns t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.i = w.i + 1
     JOIN (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2), (0, 'D', 0), (1, 'D', 1), (2, 'D', 2), (3, 'D', 3)) AS move(state, letter, next)
       ON move.state = w.state
@@ -218,6 +227,50 @@ LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM o.conv_id
 """
 
 
+OP11_SQL = f"""
+WITH RECURSIVE {CRC32_CODES}, told AS (
+  SELECT doc_id, source, text, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') ||
+         coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS fields,
+         CASE WHEN {CRC32.format(key="doc_id::VARCHAR")} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS found
+  FROM documents, codes
+), digests AS (
+  SELECT doc_id, source, sha256(fields || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(fields || coalesce(strlen(found) || ':' || found, '-')) AS folded
+  FROM told
+), leaves AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) AS tree, count(*) OVER (PARTITION BY source) AS n,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM digests
+), built AS (
+  SELECT tree, 0 AS level, pos, n, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM built WHERE n > 1 GROUP BY ALL
+), upper AS (
+  SELECT 0::BIGINT AS tree, 0 AS level, tree - 1 AS pos, count(*) OVER () AS n, digest FROM built WHERE n = 1
+  UNION ALL
+  SELECT tree, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM upper WHERE n > 1 GROUP BY ALL
+), nodes AS (
+  SELECT tree, level, pos, coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+         coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after,
+         CASE WHEN n <= 3 AND tree > 0 THEN 0 ELSE tree END AS up_tree, CASE WHEN n <= 3 AND tree > 0 THEN 0 ELSE level + 1 END AS up_level,
+         CASE WHEN n <= 3 AND tree > 0 THEN tree - 1 ELSE pos // 3 END AS up_pos
+  FROM (FROM built UNION ALL FROM upper) WHERE n > 1 WINDOW w AS (PARTITION BY tree, level, pos // 3 ORDER BY pos)
+), climb AS (
+  SELECT tree, pos, 0 AS step, CASE n WHEN 1 THEN 0 ELSE tree END AS at_tree, 0 AS at_level, CASE n WHEN 1 THEN tree - 1 ELSE pos END AS at_pos,
+         folded, '' AS siblings
+  FROM leaves
+  UNION ALL
+  SELECT c.tree, c.pos, step + 1, up_tree, up_level, up_pos, sha256(before || folded || after), before || after
+  FROM climb c JOIN nodes n ON n.tree = at_tree AND n.level = at_level AND n.pos = at_pos
+), proofs AS (
+  SELECT tree, pos, sha256(string_agg(siblings, '' ORDER BY step)) AS proof_sha256, arg_max(folded, step) AS folded_root FROM climb GROUP BY tree, pos
+)
+SELECT doc_id, leaf, b.digest AS subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves l JOIN proofs p ON p.tree = l.tree AND p.pos = l.pos JOIN built b ON b.tree = l.tree AND b.n = 1,
+     (SELECT digest AS root FROM upper WHERE n = 1)
+"""
+
+
 OP3_SQL = """
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents
@@ -259,6 +312,7 @@ QUERIES: dict[str, tuple[Build, str | None]] = {
     "op8_token_counts": (op8_token_counts, None),
     "op9_repeats": (op9_repeats, None),
     "op10_quality": (op10_quality, None),
+    "op11_merkle_manifest": (op11_merkle_manifest, OP11_SQL),
     "op12_line_dedup": (op12_line_dedup, OP12_SQL),
     "op13_conversation_repair": (op13_conversation_repair, OP13_SQL),
 }
