@@ -3,7 +3,8 @@
 Each pre-token (a match of the pattern) is looked up whole first: a minimal perfect hash over
 the vocabulary gives the only slot it can have, and one comparison tells. What is not in the
 vocabulary is merged from its bytes: neighbours are linked, a heap yields the pair of lowest
-rank, leftmost first. Ids of pre-tokens met before come from a bounded memo.
+rank, leftmost first. Ids of pre-tokens met before come from a bounded memo. Encoding, decoding and what is made of
+them are one pass over the texts, a megabyte at a time.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import base64
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from hashlib import sha256
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
@@ -22,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazecast.llm.common import chunks, replaced, texts_of
+from hazecast.llm.common import chunks, fresh, replaced, texts_of
 
 MEMO = 200_000  # pre-tokens a task remembers before it starts anew
 SPREAD, MIX, ALL = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, (1 << 64) - 1  # odd multipliers of the perfect hash
@@ -166,6 +168,11 @@ def encoder(vocabulary: Vocabulary, memo: int = MEMO):
     return encode
 
 
+def _decoded(vocabulary: Vocabulary, ids: bytes | pa.Buffer) -> bytes:
+    """The bytes that packed ids stand for. An id outside the vocabulary fails."""
+    return b"".join(map(vocabulary.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
 def _shared(df: DataFrame, vocabulary: Vocabulary):
     return df.sparkSession.sparkContext.broadcast(vocabulary)
 
@@ -194,12 +201,8 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", into: str =
 
     @F.arrow_udf("binary")
     def unpacked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        token = shared.value.tokens.__getitem__
         for packs in batches:
-            yield pa.array(
-                [None if not p.is_valid else b"".join(map(token, np.frombuffer(p.as_buffer(), "<u4").tolist())) for p in packs],
-                pa.binary(),
-            )
+            yield pa.array([_decoded(shared.value, p.as_buffer()) if p.is_valid else None for p in packs], pa.binary())
 
     return replaced(df, {into: unpacked(F.col(f"`{ids}`"))})
 
@@ -208,19 +211,50 @@ def n_tokens(ids: str = "ids") -> Column:
     return (F.octet_length(F.col(f"`{ids}`")) / 4).cast("long")
 
 
+def _coded(texts: pa.Array, vocabulary: Vocabulary, run) -> Iterator[tuple[bytes, bytes, str]]:
+    """Packed ids, the bytes they decode to, and the text they come from: one document at a time."""
+    for some in chunks(texts_of(texts)):
+        for text, ids in zip(some, run(some), strict=True):
+            yield ids, _decoded(vocabulary, ids), text
+    pa.default_memory_pool().release_unused()
+
+
+def n_tokens(ids: str = "ids") -> Column:
+    return (F.octet_length(F.col(f"`{ids}`")) / 4).cast("long")
+
+
 def digests(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Per document: doc_id, n_tokens, and the digests of the ids and of the decoded bytes."""
-    coded = decode(encode(docs.select("doc_id", "text"), vocabulary).drop("text"), vocabulary)
-    return coded.select(
-        "doc_id",
-        n_tokens().alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    """Per document: doc_id, n_tokens, and the digests of the ids and of the decoded bytes.
+
+    Ids and bytes never leave the task that makes them."""
+    shared = _shared(docs, vocabulary)
+    kind = pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+
+    @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        run = encoder(shared.value)
+        for texts in batches:
+            rows = [(len(ids) // 4, sha256(ids).hexdigest(), sha256(back).hexdigest()) for ids, back, _ in _coded(texts, shared.value, run)]
+            yield pa.array(rows, kind)
+
+    return docs.select("doc_id", digest("text").alias("coded")).select("doc_id", "coded.*")
 
 
 def encoded_documents(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Every document with its packed ids, their number, and whether they decode to its text."""
-    coded = decode(encode(docs, vocabulary, into="ids"), vocabulary, into="decoded")
-    same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return replaced(coded, {"n_tokens": n_tokens(), "round_trip": same}).drop("decoded")
+    shared = _shared(docs, vocabulary)
+    (coded,) = fresh(docs, "_coded")
+
+    @F.arrow_udf("ids binary, same boolean")
+    def checked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        run = encoder(shared.value)
+        for texts in batches:
+            ids, same = [], []
+            for own, back, text in _coded(texts, shared.value, run):
+                ids.append(own)
+                same.append(back == text.encode())
+            yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(same, pa.bool_())], ["ids", "same"])
+
+    found = docs.withColumn(coded, checked("text"))
+    ids, same = F.col(coded)["ids"], F.col(coded)["same"]
+    return replaced(found, {"ids": ids, "n_tokens": (F.octet_length(ids) / 4).cast("long"), "round_trip": same}).drop(coded)

@@ -29,7 +29,11 @@ def test_every_key_has_a_slot_of_its_own(keys):
     assert set(lookup.slots([b"other", b""]).tolist()) <= set(range(len(keys)))
 
 
-@given(st.text(max_size=300))
+# blanks of all kinds beside letters, digits and signs
+texts = st.one_of(st.text(max_size=300), st.text(alphabet="ab é1.,'s\n\t\x00\x1c\xa0\u2003\u3000", max_size=80))
+
+
+@given(texts)
 @settings(deadline=None, max_examples=200)
 def test_ids_are_those_of_the_library(vocabulary, reference, text):
     ids = np.frombuffer(encoder(vocabulary)([text])[0], "<u4").tolist()
