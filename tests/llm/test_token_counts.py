@@ -1,9 +1,13 @@
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tokenizers
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
-from hazecast.llm.token_counts import Tokenizer, stored_counts, token_counts
+from hazecast.llm import token_counts as module
+from hazecast.llm.token_counts import Tokenizer, fill, stored_counts, token_counts
 from hazecast.session import new_folder
 
 
@@ -51,3 +55,39 @@ def test_versions_have_their_own_counts(spark):
 
 def test_an_empty_table(spark, none):
     assert token_counts(none, Tokenizer(public_tokenizers.path("byte_bpe_50k.json")), new_folder(spark, "counts")).count() == 0
+
+
+@pytest.fixture(scope="module")
+def counter():
+    tokenizer = Tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    assert tokenizer.apart() and not Tokenizer(public_tokenizers.path("word_bpe_49k.json")).apart()
+    return tokenizer.counter(), tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+pieces = ["<|endoftext|>", " ", "  ", "\n", "word", "Don't", ".", "é,", "1", "\xa0", "\u2003", "\x1c", "\x00", "\u3000", "!?", "<|", "x;"]
+texts = st.lists(st.sampled_from(pieces), max_size=20).map("".join)
+
+
+@given(st.lists(st.one_of(texts, st.text(max_size=60)), min_size=1, max_size=5))
+@settings(deadline=None, max_examples=300)
+def test_counts_by_units(counter, some):
+    count, library = counter
+    assert count(pa.array(some)).tolist() == [len(library.encode(t, add_special_tokens=False).ids) for t in some]
+
+
+def test_a_full_memo_and_a_long_text(counter, monkeypatch):
+    monkeypatch.setattr(module, "MEMO", 3)
+    _, library = counter
+    count = Tokenizer(public_tokenizers.path("byte_bpe_50k.json")).counter()
+    some = ["one two three four", "ab" * 50_000 + " " * 9000, " ".join(f"word{i % 999}," for i in range(60_000))]
+    for text in some * 2:
+        assert count(pa.array([text])).tolist() == [len(library.encode(text, add_special_tokens=False).ids)]
+
+
+def test_a_second_run_finds_what_the_first_stored(spark, odd, odd_rows):
+    tokenizer, cache = Tokenizer(public_tokenizers.path("byte_bpe_50k.json")), new_folder(spark, "counts")
+    fill(odd.where("doc_id % 3 = 0"), tokenizer, cache)
+    before = {bytes(r.digest) for r in spark.read.parquet(cache).collect()}
+    assert token_counts(odd, tokenizer, cache).count() == len(odd_rows)
+    after = [bytes(r.digest) for r in spark.read.parquet(cache).collect()]
+    assert before < set(after) and len(after) == len(set(after)) == len({r[1] or "" for r in odd_rows})
