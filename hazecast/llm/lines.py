@@ -14,13 +14,13 @@ with their owners, so its result is the same; what a merged run covers is not re
 from __future__ import annotations
 
 import re
-import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructType
 
-from hazecast.llm.common import fresh, replaced
+from hazecast.llm.common import fresh, opened_buckets, replaced
 from hazecast.session import new_folder, stored
 
 LEAST = 10  # code points of a key
@@ -30,6 +30,7 @@ FAN = 3
 BLANKS = " \t\n\x0b\x0c\r"  # fixed value: stripped at both ends of a line
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LAST_ID = (1 << 63) - 1
+SCHEMA = StructType().add("hash", BinaryType()).add("owner", LongType())
 
 
 def lines_of(text: str = "text") -> Column:
@@ -94,19 +95,7 @@ class Runs:
         return f"{self.folder}/level{run[0]}-{run[1]}-{run[2]}"
 
     def _table(self, run: tuple[int, int, int], rows: DataFrame | None = None) -> DataFrame:
-        """The bucketed files of a run, after writing ``rows`` to them. The catalog knows the table only
-        while it is opened; the files stay."""
-        name = f"run_{uuid.uuid4().hex}"
-        self.spark.sql(
-            f"CREATE TABLE {name} (hash BINARY, owner BIGINT) USING parquet CLUSTERED BY (hash) SORTED BY (hash) "
-            f"INTO {self.buckets} BUCKETS LOCATION '{self._at(run)}'"
-        )
-        try:
-            if rows is not None:
-                rows.select("hash", "owner").write.insertInto(name, overwrite=True)
-            return self.spark.table(name)
-        finally:
-            self.spark.sql(f"DROP TABLE {name}")
+        return opened_buckets(self.spark, self._at(run), SCHEMA, ["hash"], self.buckets, rows)
 
     def met(self, keys: DataFrame) -> DataFrame:
         """``keys`` (one row a hash) with the owner that a run has for them, else null: one merge join a run,

@@ -13,9 +13,12 @@ some ``SPREAD`` leaves, and a leaf passes one of them: no key of the climb's joi
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hazecast.llm.common import bucketed
 from hazecast.llm.mixing import _ranked
 from hazecast.session import stored
 
@@ -24,6 +27,7 @@ SPREAD = 729
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 TOP = 0  # the tree of subroots; sources are trees from 1 on
 
+RUNS = "tree long, n long, pos long, leaves long, digests array<binary>, sizes array<long>"
 ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
 
 CLIMB = """
@@ -135,12 +139,14 @@ def _built(level: DataFrame, most: int) -> tuple[list[DataFrame], DataFrame]:
 
 
 def _climbed(leaves: DataFrame, nodes: DataFrame) -> DataFrame:
-    """A row for each leaf and step. The recursion has no row limit: it ends above the roots."""
+    """(tree, pos, steps) of each leaf. The recursion has no row limit: it ends above the roots."""
     spark = leaves.sparkSession
     before = spark.conf.get(ROW_LIMIT)
     spark.conf.set(ROW_LIMIT, "-1")
     try:
-        return stored(spark.sql(CLIMB, leaves=leaves, nodes=nodes), "climb")
+        climb = spark.sql(CLIMB, leaves=leaves, nodes=nodes)
+        steps = F.array_sort(F.collect_list(F.struct("step", "folded", "siblings", "leaf", "doc_id")))
+        return stored(climb.groupBy("tree", "pos").agg(steps.alias("steps")), "climb")
     finally:
         spark.conf.set(ROW_LIMIT, before)
 
@@ -154,6 +160,7 @@ def proofs(docs: DataFrame, found: Column | None = None) -> DataFrame:
     only source the root; a proof may thus be empty. A null field differs from an empty one. Extra columns
     don't count; no documents, no rows.
     """
+    spark = docs.sparkSession
     leaves = _leaves(docs, F.col("text") if found is None else found)
     most, sources = leaves.agg(F.max("n"), F.max("tree")).first()
     level = leaves.select("tree", "n", "pos", F.lit(1).cast("long").alias("leaves"), F.col("leaf").alias("digest"))
@@ -169,16 +176,9 @@ def proofs(docs: DataFrame, found: Column | None = None) -> DataFrame:
         F.lit(0).alias("at_level"),
         F.when(alone, F.col("tree") - 1).otherwise(F.col("pos")).alias("at_pos"),
     )
-    if not nodes + upper:
-        climb = starts.select("tree", "pos", F.lit(0).alias("step"), "folded", F.lit(None).cast("binary").alias("siblings"), "leaf", "doc_id")
-    else:
-        rows = nodes + upper
-        table = rows[0]
-        for own in rows[1:]:
-            table = table.union(own)
-        climb = _climbed(starts, stored(table, "nodes"))
-    steps = F.array_sort(F.collect_list(F.struct("step", "folded", "siblings", "leaf", "doc_id")))
-    whole = climb.groupBy("tree", "pos").agg(steps.alias("steps"))
+    rows = reduce(DataFrame.union, nodes + upper) if nodes + upper else _node_rows(spark.createDataFrame([], RUNS), 0)
+    # one exchange for all steps: every one of them joins the buckets where they lie
+    whole = _climbed(starts, bucketed(rows, "nodes", "tree", "level", "pos", "copy"))
     met = F.filter("steps.siblings", lambda s: s.isNotNull())
     told = whole.select(
         "tree",
