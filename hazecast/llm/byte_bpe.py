@@ -216,7 +216,6 @@ def _coded(texts: pa.Array, vocabulary: Vocabulary, run) -> Iterator[tuple[bytes
     for some in chunks(texts_of(texts)):
         for text, ids in zip(some, run(some), strict=True):
             yield ids, _decoded(vocabulary, ids), text
-    pa.default_memory_pool().release_unused()
 
 
 def n_tokens(ids: str = "ids") -> Column:

@@ -39,7 +39,9 @@ def text_digest(text: str = "text") -> Column:
 
 
 def texts_of(values: pa.Array) -> Iterator[str]:
-    """Texts one by one, so that a batch of long ones isn't held twice; null reads as empty."""
+    """Texts one by one, so that a batch of long ones isn't held twice; null reads as empty. Memory that
+    earlier batches took goes back to the system."""
+    pa.default_memory_pool().release_unused()
     for value in values:
         yield value.as_py() or ""
 
