@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazecast.models.forest import score_forest
 from hazecast.models.kernel import score_kernel
 from hazecast.models.linear import REFIT, score_linear
 from hazecast.models.trees import score_trees
@@ -17,15 +18,20 @@ def forecasts(
     frame: DataFrame,
     *,
     ridge: DataFrame | None = None,
-    forest: dict | None = None,
+    forest: DataFrame | dict | None = None,
     kernel: DataFrame | None = None,
     features: list[str] = FEATURES,
     series: Series = Series(),
 ) -> DataFrame:
-    """Date, station and one prediction column per given model; the others are left out."""
+    """Date, station and one prediction column per given model; the others are left out.
+
+    ``forest``: pieces of :mod:`hazecast.models.forest`, or MLlib models by station.
+    """
     scored = frame
-    if forest is not None:
+    if isinstance(forest, dict):
         scored = score_trees(scored, forest, features, series)
+    elif forest is not None:
+        scored = score_forest(scored, forest, features, series)
     if ridge is not None:
         refit = ridge.where(F.col("fold") == REFIT)
         scored = score_linear(scored, refit, features, series)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hazecast.functions.columns import is_hazardous, row_mean
-from hazecast.models import attribution, kernel, linear, score, trees
+from hazecast.models import attribution, forest, kernel, linear, score
 from hazecast.models.evaluate import cv_average
 from hazecast.models.folds import SPLITS, with_blocks, with_holdout, with_random_split
 from hazecast.operators import frames
@@ -15,10 +15,12 @@ from hazecast.plans.common import (
     DAYS,
     DAY_VIEWS,
     LARGE_SLOTS,
+    TICKS,
     complete_days,
     history_and_forecast,
     rounded,
     stored_days,
+    stored_ticks,
 )
 from hazecast.plans.registry import query
 from hazecast.plans.sql import with_series
@@ -328,23 +330,23 @@ def stored_model_scoring(spark, folder):
 def forest_forecast(spark, folder):
     """Forest and ridge of every city, fitted on its whole history, on the forecast frame."""
     history, ahead = history_and_forecast(spark, folder)
-    features = files.station_table(complete_days(spark, folder), DAYS)
+    features = stored(complete_days(spark, folder), "features")
     frame = frames.forecast_frame(history, ahead, DAYS)
-    forest = trees.fit_trees(features, trees.random_forest(), FEATURES, TARGET, DAYS)
+    pieces = forest.fit_forest(features, FEATURES, TARGET, DAYS)
     ridge = settle(linear.fit_ridge(features, FEATURES, TARGET, DAYS))
-    return score.forecasts(settle(frame), forest=forest, ridge=ridge, series=DAYS)
+    return score.forecasts(settle(frame), forest=pieces, ridge=ridge, series=DAYS)
 
 
 @query()
 def three_model_forecast(spark, folder):
     """Forest, ridge and kernel regression of every city on the forecast frame, with the alert."""
     history, ahead = history_and_forecast(spark, folder)
-    features = files.station_table(complete_days(spark, folder), DAYS)
-    forest = trees.fit_trees(features, trees.random_forest(), FEATURES, TARGET, DAYS)
+    features = stored(complete_days(spark, folder), "features")
+    pieces = forest.fit_forest(features, FEATURES, TARGET, DAYS)
     ridge = settle(linear.fit_ridge(features, FEATURES, TARGET, DAYS))
     support = kernel.fit_kernel(features, FEATURES, TARGET, LARGE_SLOTS)
     frame = settle(frames.forecast_frame(history, ahead, DAYS))
-    made = score.forecasts(frame, forest=forest, ridge=ridge, kernel=support, series=LARGE_SLOTS)
+    made = score.forecasts(frame, forest=pieces, ridge=ridge, kernel=support, series=LARGE_SLOTS)
     return made.withColumn("hazardous", is_hazardous(F.greatest(*PREDICTIONS)))
 
 
@@ -381,12 +383,28 @@ def five_feature_model(spark, folder):
 @query()
 def tree_fit_metrics(spark, folder):
     """Cross-validation of a single decision tree."""
-    _, metrics = trees.cross_validated_trees(
-        stored_days(spark, folder), trees.decision_tree(), FEATURES, TARGET, DAYS, model="tree"
-    )
+    days = stored_days(spark, folder)
+    _, metrics = forest.cross_validated_forest(days, FEATURES, TARGET, DAYS, model="tree", trees=1, bootstrap=False)
     return cv_average(metrics)
 
 
+IN_LEAF = ["pm10", "dust", "uv_index", "ozone"]
+
+
+@query(
+    with_series(
+        f"SELECT date, city, us_aqi, round(avg(us_aqi) OVER (PARTITION BY city, {', '.join(IN_LEAF)}), 4) AS pred FROM shipment_ticks"
+    )
+)
+def tick_tree_fit(spark, folder):
+    """One full tree of every tick station: a leaf holds the rows that no reading tells apart, and a row
+    is predicted by their mean."""
+    ticks = stored_ticks(spark, folder, *IN_LEAF, TARGET)
+    pieces = forest.fit_forest(ticks, IN_LEAF, TARGET, TICKS, trees=1, bootstrap=False, depth=60)
+    scored = forest.score_forest(ticks, pieces, IN_LEAF, TICKS, name="pred")
+    return rounded(scored.select("date", "city", TARGET, "pred"), {"pred": 4})
+
+
 @query()
 def kernel_cv_averages(spark, folder):
     _, metrics = kernel.cross_validated_kernel(
@@ -398,11 +416,11 @@ def kernel_cv_averages(spark, folder):
 def _shapley_inputs(spark, folder):
     """Forecast frame, its background, and a scorer by forests of all features."""
     history, ahead = history_and_forecast(spark, folder)
-    features = files.station_table(complete_days(spark, folder), DAYS)
-    forest = trees.fit_trees(features, trees.random_forest(), FEATURES, TARGET, DAYS)
+    features = stored(complete_days(spark, folder), "features")
+    pieces = forest.fit_forest(features, FEATURES, TARGET, DAYS)
 
     def scorer(df):
-        return trees.score_trees(df, forest, FEATURES, DAYS, name="pred")
+        return forest.score_forest(df, pieces, FEATURES, DAYS, name="pred")
 
     return settle(frames.forecast_frame(history, ahead, DAYS)), features, scorer
 
