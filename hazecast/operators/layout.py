@@ -12,7 +12,7 @@ The edge rows of a station are ordered in one task: ``back`` or ``ahead`` rows p
 their number follows the calendar span, not the density of the station. Slots of a fixed width
 suit hourly series and need no look at the data. Where stations differ widely in density, use
 ``Series(slot_seconds=None)``: then only stations with more than ``rows_per_slot`` rows are cut,
-each by a width measured from its own rows, and sparse ones stay whole.
+each at quantiles of its own times, and sparse ones stay whole.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from hazecast.operators.lookup import lookup
 SLOT = "_slot"
 HALO = "_halo"
 WHOLE = -(2**62)  # slot of a station that is not cut
+GRID = 1024  # slots of a station at most, where they are measured
 DAY = 86_400
 BEGIN, NOW, END = Window.unboundedPreceding, Window.currentRow, Window.unboundedFollowing
 
@@ -83,22 +84,37 @@ def with_slot(df: DataFrame, series: Series) -> DataFrame:
     if series.slot_seconds is not None:
         width = F.lit(series.slot_seconds * 1_000_000)
         return placed.withColumn(SLOT, F.floor(series.micros() / width).cast("long"))
-    widths = _widths_of_large_stations(placed, series)
-    cut = lookup(placed, widths, [series.key], spread=[series.time])
-    slot = F.coalesce(F.floor(series.micros() / F.col("_width")).cast("long"), F.lit(WHOLE))
-    return cut.withColumn(SLOT, slot).drop("_width")
-
-
-def _widths_of_large_stations(df: DataFrame, series: Series) -> DataFrame:
-    """Slot width in microseconds of every station that has more than ``rows_per_slot`` rows."""
-    sizes = df.groupBy(series.key).agg(
-        F.count("*").alias("_rows"),
-        F.min(series.micros()).alias("_first"),
-        F.max(series.micros()).alias("_last"),
-    )
-    share = F.lit(float(series.rows_per_slot)) / F.col("_rows")
-    width = F.greatest(F.lit(1).cast("long"), F.ceil((F.col("_last") - F.col("_first")) * share))
-    return sizes.where(F.col("_rows") > series.rows_per_slot).select(series.key, width.alias("_width"))
+    bounds = _bounds_of_large_stations(placed, series)
+    cut = lookup(placed, bounds, [series.key], spread=[series.time])
+    slot = F.when(F.col("_bounds").isNull(), F.lit(WHOLE)).otherwise(_passed("_bounds", series.micros()))
+    return cut.withColumn(SLOT, slot).drop("_bounds")
+
+
+def _passed(bounds: str, value: Column) -> Column:
+    """How many of the ascending ``bounds`` are at most ``value``, by binary search."""
+    steps = F.lit([GRID >> i for i in range(GRID.bit_length())])
+
+    def step(at: Column, size: Column) -> Column:
+        # beyond the end there is null, which is no bound
+        return F.when(F.get(bounds, at + size - 1) <= value, at + size).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), step).cast("long")
+
+
+def _bounds_of_large_stations(df: DataFrame, series: Series) -> DataFrame:
+    """Times that cut every station with more than ``rows_per_slot`` rows into slots of equal depth.
+
+    They come from a mergeable quantile sketch of the station's times, so that a burst is cut as finely
+    as it is dense; a slot is up to twice as deep as asked for. GRID slots are the most a station gets.
+    """
+    sizes = df.groupBy(series.key).agg(F.count("*").alias("_rows"))
+    sizes = sizes.where(F.col("_rows") > series.rows_per_slot)
+    own = lookup(df.select(series.key, series.time), sizes, [series.key], spread=[series.time]).where(F.col("_rows").isNotNull())
+    shares = [i / GRID for i in range(1, GRID)]
+    grid = own.groupBy(series.key, "_rows").agg(F.percentile_approx(series.micros(), shares, 16 * GRID).alias("_grid"))
+    every = F.greatest(F.lit(1), F.floor(F.lit(GRID) * series.rows_per_slot / F.col("_rows"))).cast("int")
+    chosen = F.array_distinct(F.filter("_grid", lambda b, i: (i + 1) % every == 0))
+    return grid.select(series.key, chosen.alias("_bounds"))
 
 
 def lay_out(df: DataFrame, series: Series) -> DataFrame:

@@ -159,6 +159,23 @@ def test_only_large_stations_are_cut(spark):
     compare(got, expected_features(random_series(15), "ffill_drop"), MEMORY)
 
 
+def test_a_burst_is_cut_as_finely_as_it_is_dense(spark):
+    """All but two rows of a station lie within a few minutes; its first and last row are years apart."""
+    burst = spark.range(200_000).selectExpr("timestamp_micros(1700000000000000 + id * 1000) AS date", "cast(id % 13 AS double) AS us_aqi", "'a' AS city")
+    far = spark.sql("SELECT explode(array(timestamp'1990-01-01', timestamp'2030-01-01')) AS date, 1.0D AS us_aqi, 'a' AS city")
+    small = spark.range(100).selectExpr("timestamp_micros(id) AS date", "cast(id AS double) AS us_aqi", "'b' AS city")
+    df = burst.union(far).union(small)
+    series = Series(slot_seconds=None, rows_per_slot=5000)
+    slotted = with_slot(df, series)
+    sizes = slotted.groupBy("city", "_slot").agg(F.count("*").alias("n"), F.min("date").alias("first"), F.max("date").alias("last")).toPandas()
+    assert sizes.n.max() <= 10_000 and sizes.n.sum() == 200_102 and (sizes.city == "b").sum() == 1
+    own = sizes[sizes.city == "a"].sort_values("_slot")
+    assert (own["first"].iloc[1:].to_numpy() > own["last"].iloc[:-1].to_numpy()).all()
+    lagged = windows.with_lags(df, {"lag": 3}, series)
+    wrong = "date > timestamp'2000-01-01' AND date < timestamp'2029-01-01' AND unix_micros(date) >= 1700000000003000 AND lag <> (us_aqi + 10) % 13"
+    assert lagged.where(wrong).count() == 0 and lagged.where("lag IS NULL").count() == 6
+
+
 def test_measured_slots_beyond_the_broadcast_bound(spark, monkeypatch):
     monkeypatch.setattr(lookup_module, "fits_broadcast", lambda *a: False)
     df = to_spark(spark, random_series(16))
