@@ -8,8 +8,8 @@ slot (its *halo*) are copied into the slots whose frames reach them, however man
 missing slots lie between. Only those edge rows are shuffled a second time: the union keeps the
 hash partitioning of the main rows, and the exchange below it is reused.
 
-The edge rows of a station are ordered in one task: ``back`` or ``ahead`` rows per slot, so
-their number follows the calendar span, not the density of the station. Slots of a fixed width
+Which slot needs how many rows of which is decided from one summary row per slot; no window ever runs
+over the rows of a station, only over its slots, whose number follows the calendar. Slots of a fixed width
 suit hourly series and need no look at the data. Where stations differ widely in density, use
 ``Series(slot_seconds=None)``: then only stations with more than ``rows_per_slot`` rows are cut,
 each at quantiles of its own times, and sparse ones stay whole.
@@ -53,7 +53,7 @@ class Series:
         return Window.partitionBy(self.key, SLOT).orderBy(self._order(reverse))
 
     def in_key(self, reverse: bool = False) -> WindowSpec:
-        """Whole-station window: for edge rows and other per-station bounded tables only."""
+        """Whole-station window, for rankings that Spark cuts off inside the map tasks only."""
         return Window.partitionBy(self.key).orderBy(self._order(reverse))
 
     def over_slots(self, reverse: bool = False) -> WindowSpec:
@@ -156,31 +156,42 @@ def over_series(
 def _halo(base: DataFrame, series: Series, reach: int, reverse: bool) -> DataFrame:
     """Edge rows copied into each slot whose frames reach them.
 
-    In reading order (backwards when ``reverse``), a row is needed by every later slot whose
-    first row comes at most ``reach`` rows after it. Each slot keeps only its last ``reach``
-    rows here; since a slot with fewer keeps all of them, distances among the kept rows up to
-    ``reach`` are the true ones.
+    Every slot ranks its last ``reach`` rows (in reading order, backwards when ``reverse``) where it lies,
+    and the list of routes, one row for a pair of slots, says how many of them a later slot needs.
     """
-    # no filter on the slot itself: it would be pushed below the exchange of this branch alone,
-    # which could not be shared with the main rows any more
-    kept_rows = F.when(F.col(SLOT) != WHOLE, reach).otherwise(0)
-    edges = (
-        base.withColumn("_rank", F.row_number().over(series.in_slot(not reverse)))
-        .where(F.col("_rank") <= (reach if series.slot_seconds is not None else kept_rows))
-        .drop("_rank")
-    )
-    along = series.in_key(reverse)
-    opens_slot = ~F.col(SLOT).eqNullSafe(F.lag(SLOT).over(along))
-    targets = F.collect_list(F.when(F.col("_opens"), F.col(SLOT))).over(along.rowsBetween(1, reach))
-    routed = edges.withColumn("_opens", opens_slot).withColumn("_targets", targets)
+    edges = base.withColumn("_rank", F.row_number().over(series.in_slot(not reverse))).where(F.col("_rank") <= reach)
+    routes = _routes(base, series, reach, reverse).withColumnsRenamed({series.key: "_k", SLOT: "_s"})
+    # no slot is null, but a plain equation would say so in a filter below the exchange of this branch
+    # alone, which could not be shared with the main rows any more
+    same = (F.col(series.key) == F.col("_k")) & F.col(SLOT).eqNullSafe(F.col("_s")) & (F.col("_rank") <= F.col("_rows"))
     kept = [c for c in base.columns if c != SLOT]
     return (
-        routed.select(*kept, F.explode("_targets").alias(SLOT))
+        edges.join(routes, same)
+        .select(*kept, F.col("_to").alias(SLOT))
         .repartition(series.key, SLOT)
         .withColumn(HALO, F.lit(True))
     )
 
 
+def _routes(base: DataFrame, series: Series, reach: int, reverse: bool) -> DataFrame:
+    """(station, slot, ``_to``, ``_rows``): how many last rows of a slot the slot ``_to`` needs.
+
+    From one summary row per slot. A slot needs the ``reach`` rows before its first one, and at most
+    ``reach`` slots hold them.
+    """
+    # all columns are looked at, and rows not only counted, so that they stay those of the main rows: their
+    # exchange is read again then, and the input isn't
+    summary = base.groupBy(series.key, SLOT).agg(F.count("*").alias("_count"), F.max(F.xxhash64("*")).alias("_any"))
+    summary = summary.where(F.col("_any").isNotNull()).drop("_any")
+    along = series.over_slots(reverse)
+    upto = summary.withColumn("_upto", F.sum("_count").over(along.rowsBetween(BEGIN, NOW)))
+    earlier = F.collect_list(F.struct(SLOT, "_upto")).over(along.rowsBetween(-reach, -1))
+    begin = F.col("_upto") - F.col("_count")
+    needed = F.transform("_earlier", lambda s: F.struct(s[SLOT].alias(SLOT), (s["_upto"] - begin + reach).alias("_rows")))
+    each = upto.withColumn("_earlier", earlier).select(series.key, F.col(SLOT).alias("_to"), F.explode(F.filter(needed, lambda s: s["_rows"] > 0)).alias("_n"))
+    return each.select(series.key, f"_n.{SLOT}", "_to", "_n._rows")
+
+
 def slot_totals(df: DataFrame, series: Series, means: list[str] | None = None) -> DataFrame:
     """One row per (station, slot) of a slotted frame: rows before it, station rows and means.
 

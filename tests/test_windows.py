@@ -1,5 +1,7 @@
 """Window operators against pandas, across slot boundaries, gaps and short histories."""
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -193,5 +195,15 @@ def test_input_is_scanned_and_shuffled_once(spark, tmp_path, series):
     featured = windows.station_features(spark.read.parquet(f"{tmp_path}/hours"), series)
     featured.collect()
     plan = featured._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert plan.count("ReusedExchange") == 1
+    assert plan.count("ReusedExchange") == 2  # edge rows, and the summary of the slots
     assert plan.count("FileScan parquet") == 1
+
+
+@pytest.mark.parametrize("reverse", [False, True])
+def test_no_window_runs_over_the_rows_of_a_station(spark, reverse):
+    df = to_spark(spark, random_series(17))
+    series = Series(slot_seconds=DAY)
+    made = windows.with_target_ahead(df, 5, series) if reverse else windows.with_lags(df, {"lag": 30}, series)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    over_station = [line for line in plan.splitlines() if "Window [" in line and re.search(r"\[city#\d+\], \[date", line)]
+    assert not over_station
