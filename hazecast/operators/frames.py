@@ -54,9 +54,9 @@ def segmented(history: DataFrame, forecast: DataFrame) -> DataFrame:
 
 
 def forecast_frame(
-    history: DataFrame, forecast: DataFrame, series: Series = Series(), target: str = TARGET
+    history: DataFrame, forecast: DataFrame, series: Series = Series(), target: str = TARGET, horizon: int = HORIZON_ROWS
 ) -> DataFrame:
-    """Feature rows of the forecast hours, built on the last 48 history rows of each station.
+    """Feature rows of the last ``horizon`` forecast hours, built on the last 48 history rows of each station.
 
     A station holds at most 48 + its horizon rows here, so one window per station is enough.
     """
@@ -72,7 +72,7 @@ def forecast_frame(
     filled = [c for c in rows.columns if c not in (series.key, series.time, "segment")]
     rows = rows.withColumns({c: _last_known(c, along) for c in filled})
     rows = rows.withColumns({c: _last_known(c, against) for c in filled})
-    rows = rows.withColumn("_rank", F.row_number().over(against)).where(F.col("_rank") <= HORIZON_ROWS)
+    rows = rows.withColumn("_rank", F.row_number().over(against)).where(F.col("_rank") <= horizon)
     return rows.select(
         series.time, target, *POLLUTANTS, series.key, *calendar_columns(), *MEMORY
     )

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hazecast.functions.columns import is_hazardous, row_mean
-from hazecast.models import attribution, forest, kernel, linear, score
+from hazecast.models import attribution, forest, kernel, linear, score, selection
 from hazecast.models.evaluate import cv_average
 from hazecast.models.folds import SPLITS, with_blocks, with_holdout, with_random_split
 from hazecast.operators import frames
@@ -139,6 +140,25 @@ def ridge_cross_validation(spark, folder):
     return rounded(metrics, {"rmse": 4, "mae": 4, "r2": 4})
 
 
+def _scaled_sql(c):
+    return f"round(({c} - avg({c}) FILTER (NOT is_test) OVER w) / coalesce(nullif(stddev_pop({c}) FILTER (NOT is_test) OVER w, 0), 1), 4) AS {c}"
+
+
+@query(
+    with_series(
+        f"SELECT date, city, is_test, {', '.join(map(_scaled_sql, FEATURES))} FROM split WINDOW w AS (PARTITION BY city)",
+        **DAY_VIEWS,
+        split=HOLDOUT_SQL,
+    )
+)
+def standard_scaler_all_features(spark, folder):
+    """All 16 features by the statistics of the training rows; a constant one is only centred."""
+    split = settle(with_holdout(complete_days(spark, folder).select("date", "city", *FEATURES), 0.2, DAYS))
+    stats = linear.scaler_stats(split.where(~F.col("is_test")), FEATURES, ["city"])
+    scaled = linear.standardized(split, stats, FEATURES, ["city"], spread=["date"])
+    return rounded(scaled.select("date", "city", "is_test", *FEATURES), dict.fromkeys(FEATURES, 4))
+
+
 PHI_SQL = " UNION ALL ".join(
     f"SELECT c.city, date, 'ridge' AS model, '{c}' AS feature, {c} AS value, w{i} / s{i} * ({c} - avg_{c}) AS phi "
     f"FROM complete AS c JOIN ridge ON c.city = ridge.city AND fold = 0 "
@@ -350,6 +370,7 @@ def three_model_forecast(spark, folder):
     return made.withColumn("hazardous", is_hazardous(F.greatest(*PREDICTIONS)))
 
 
+# fixed values: the columns of the two older trainers
 SIX = ["hour", "day", "month", "pm10", "pm2_5", "aqi_change"]
 
 
@@ -365,15 +386,10 @@ def horizon_forecast(spark, folder):
 
 @query()
 def five_feature_model(spark, folder):
-    """The older trainer: unscaled ridge of the mean pollutant reading on five columns, by city."""
+    """The older trainer: unscaled ridge of the mean of pm10 and pm2_5 on five columns, by city."""
     days = series_days(spark, folder)
     table = days.withColumns(
-        {
-            "hour": F.hour("date"),
-            "day": F.dayofmonth("date"),
-            "month": F.month("date"),
-            "mean_reading": row_mean("pm10", "pm2_5", "carbon_monoxide", "ozone", "nitrogen_dioxide", "sulphur_dioxide"),
-        }
+        {"hour": F.hour("date"), "day": F.dayofmonth("date"), "month": F.month("date"), "mean_reading": row_mean("pm10", "pm2_5")}
     )
     five = ["pm10", "pm2_5", "hour", "day", "month"]
     fit = linear.fit_ridge(stored(table, "five"), five, "mean_reading", DAYS, scaled=False)
@@ -388,6 +404,33 @@ def tree_fit_metrics(spark, folder):
     return cv_average(metrics)
 
 
+@query(
+    with_series(
+        "SELECT t.city, model, rows, CASE model WHEN 'ridge' THEN round(rmse, 4) END AS ridge_rmse, "
+        "CASE model WHEN 'ridge' THEN round(r2, 4) END AS ridge_r2, cast(1 AS bigint) AS chosen_models, TRUE AS is_best FROM "
+        "(SELECT city, count(*) AS rows FROM blocked WHERE block > 0 GROUP BY city) AS t "
+        "JOIN (SELECT city, avg(rmse) AS rmse, avg(r2) AS r2 FROM (SELECT b.city, fold, sqrt(avg(e * e)) AS rmse, "
+        "1 - sum(e * e) / (var_pop(us_aqi) * count(*)) AS r2 FROM "
+        "(SELECT b.city, fold, us_aqi, us_aqi - (y + w1 * (pm10 - m1) / s1 + w2 * (aqi_lag_24 - m2) / s2) AS e "
+        "FROM blocked AS b JOIN ridge ON b.city = ridge.city AND b.block = fold WHERE fold > 0) AS b GROUP BY b.city, fold) "
+        "GROUP BY city) AS m ON t.city = m.city CROSS JOIN (SELECT unnest(['random_forest', 'ridge', 'svr']) AS model)",
+        **RIDGE_VIEWS,
+    )
+)
+def trained_models(spark, folder):
+    """The trainer end to end: forest, ridge and kernel regression on every fold, their metrics through JSON
+    files, and the choice. The two features are those that SQL can fit a ridge on; ``is_best`` compares the
+    chosen model's R2 with the greatest of its city."""
+    days = stored_days(spark, folder)
+    predictions = stored(selection.fold_predictions(days, PAIR, TARGET, LARGE_SLOTS, forest={"trees": 20}, kernel={"components": 64, "rounds": 3}), "predictions")
+    rows = predictions.groupBy("city", "model").agg(F.count("pred").alias("rows"))
+    judged = selection.judged_models(spark, predictions, new_folder(spark, "metrics"), DAYS).join(rows, ["city", "model"])
+    city = Window.partitionBy("city")
+    best = F.max(F.when(F.col("chosen"), F.col("avg_r2"))).over(city) == F.max("avg_r2").over(city)
+    ridge = [F.when(F.col("model") == "ridge", F.round(c, 4)).alias(n) for c, n in (("avg_rmse", "ridge_rmse"), ("avg_r2", "ridge_r2"))]
+    return judged.select("city", "model", "rows", *ridge, F.count_if("chosen").over(city).alias("chosen_models"), best.alias("is_best"))
+
+
 IN_LEAF = ["pm10", "dust", "uv_index", "ozone"]
 
 
