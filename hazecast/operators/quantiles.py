@@ -2,8 +2,9 @@
 
 A first pass counts every group and takes a mergeable sketch of it, which gives, for every wanted
 quantile, a narrow band of values certain to contain it. A second pass counts the values below
-each band, and collects, as (value, count) pairs, only the values inside. The quantile is then
-read off the running counts of the band. Groups of at most ``accuracy`` rows need no band: their
+each band, and collects, as (value, count) pairs, only the values inside. These are cut into ranges
+of even size, and the quantile is read off the running counts of the range that holds its rank, so
+that no task sees a whole band. Groups of at most ``accuracy`` rows need no band: their
 values fit into the built-in exact aggregate, which rides along in the second pass.
 """
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from hazecast.operators.layout import BEGIN, NOW
 from hazecast.operators.lookup import lookup
-from hazecast.session import settle
+from hazecast.session import settle, stored
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -69,21 +70,35 @@ def quantiles(
     ]
     inside = banded.select(*by, F.explode(F.array_compact(F.array(*hits))).alias("_hit")).select(*by, "_hit.*")
     counted = inside.groupBy(*by, "column", "q", "value").agg(F.count("*").alias("copies"))
-    running = Window.partitionBy(*by, "column", "q").orderBy("value").rowsBetween(BEGIN, NOW)
-    placed = counted.withColumn("upto", F.sum("copies").over(running)).join(ranks, [*by, "column", "q"])
-
+    picked = _at_ranks(counted, ranks, [*by, "column", "q"])
     position = (F.col("n") - 1) * F.col("q")
-    picked = placed.groupBy(*by, "column", "q").agg(
-        F.first("n").alias("n"),
-        F.min(F.when(F.col("upto") > F.floor(position) - F.col("below"), F.col("value"))).alias("lower"),
-        F.min(F.when(F.col("upto") > F.ceil(position) - F.col("below"), F.col("value"))).alias("upper"),
-    )
     between = F.col("lower") + (F.col("upper") - F.col("lower")) * (position - F.floor(position))
     long_groups = picked.select(*by, "column", "q", between.alias("value"))
     short_groups = ranks.where(F.col("exact").isNotNull()).select(*by, "column", "q", F.col("exact").alias("value"))
     return long_groups.unionByName(short_groups)
 
 
+def _at_ranks(counted: DataFrame, ranks: DataFrame, key: list[str]) -> DataFrame:
+    """(key..., n, lower, upper): the values on either side of the wanted rank of every band.
+
+    Bands are cut by value into ranges of even size and counted per range; only the ranges that hold a wanted
+    rank are ranked value by value.
+    """
+    ranged = counted.repartitionByRange(*key, "value").withColumn("_range", F.spark_partition_id())
+    ranged = stored(ranged, "bands")
+    before = Window.partitionBy(*key).orderBy("_range").rowsBetween(BEGIN, -1)
+    ranges = ranged.groupBy(*key, "_range").agg(F.sum("copies").alias("_own")).join(ranks.where(F.col("exact").isNull()), key)
+    ranges = ranges.withColumn("_start", F.col("below") + F.coalesce(F.sum("_own").over(before), F.lit(0)))
+    position = (F.col("n") - 1) * F.col("q")
+    sides = {"lower": F.floor(position), "upper": F.ceil(position)}
+    holds = [(F.col("_start") <= r) & (r < F.col("_start") + F.col("_own")) for r in sides.values()]
+    wanted = ranges.where(holds[0] | holds[1]).select(*key, "_range", "_start", "n")
+    running = Window.partitionBy(*key, "_range").orderBy("value").rowsBetween(BEGIN, NOW)
+    placed = ranged.join(wanted, [*key, "_range"]).withColumn("upto", F.col("_start") + F.sum("copies").over(running))
+    found = [F.min(F.when(F.col("upto") > r, F.col("value"))).alias(name) for name, r in sides.items()]
+    return placed.groupBy(*key).agg(F.first("n").alias("n"), *found)
+
+
 def _extra(spread: list[str] | None, by: list[str], columns: list[str]) -> list[str]:
     return [c for c in spread or [] if c not in by and c not in columns]
 

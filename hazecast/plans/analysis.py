@@ -22,7 +22,7 @@ from hazecast.plans.common import (
 from hazecast.plans.registry import query
 from hazecast.plans.sql import not_null, with_series
 from hazecast.schemas import POLLUTANTS, PREDICTIONS, READINGS, TARGET
-from hazecast.session import settle
+from hazecast.session import stored
 from hazecast.sources.tables import (
     CITY_CODES,
     CITY_COORDINATES,
@@ -192,7 +192,7 @@ MOMENTS = {"mean": 4, "std": 4}
 
 @query(_describe_sql(READINGS, "station_hours"))
 def describe_readings(spark, folder):
-    return rounded(stats.describe(settle(station_hours(spark, folder)), READINGS), MOMENTS)
+    return rounded(stats.describe(stored(station_hours(spark, folder), "hours"), READINGS), MOMENTS)
 
 
 @query(_describe_sql(READINGS, "shipment_ticks"))
@@ -210,7 +210,7 @@ QUARTILES = dict.fromkeys(["q25", "q50", "q75"], 4)
     .replace("quantile_cont(v, 0.75)", "round(quantile_cont(v, 0.75), 4)")
 )
 def describe_predictions(spark, folder):
-    return rounded(stats.describe(settle(predicted_days(spark, folder)), PREDICTIONS), MOMENTS | QUARTILES)
+    return rounded(stats.describe(stored(predicted_days(spark, folder), "predicted"), PREDICTIONS), MOMENTS | QUARTILES)
 
 
 def _histogram_sql(column: str, source: str, **views: str) -> str:

@@ -10,7 +10,7 @@ from hazecast.operators.windows import station_features
 from hazecast.plans.sql import FEATURES as FEATURES_SQL
 from hazecast.plans.sql import not_null
 from hazecast.schemas import FEATURES, POLLUTANTS, TARGET
-from hazecast.session import settle
+from hazecast.session import stored
 from hazecast.sources.tables import series_days, shipment_ticks
 
 HOURS = Series(slot_seconds=7 * DAY)  # a week of hours per slot
@@ -36,13 +36,13 @@ def complete_days(spark: SparkSession, folder: str) -> DataFrame:
 
 def stored_days(spark: SparkSession, folder: str) -> DataFrame:
     """The same table computed once, for fits that read it several times."""
-    return settle(complete_days(spark, folder))
+    return stored(complete_days(spark, folder), "days")
 
 
 def stored_ticks(spark: SparkSession, folder: str, *readings: str) -> DataFrame:
     """The tick series, or some of its readings, computed once for queries that read it again."""
     ticks = shipment_ticks(spark, folder)
-    return settle(ticks.select("date", "city", *readings) if readings else ticks)
+    return stored(ticks.select("date", "city", *readings) if readings else ticks, "ticks")
 
 
 def predicted_days(spark: SparkSession, folder: str) -> DataFrame:

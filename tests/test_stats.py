@@ -131,3 +131,14 @@ def test_last_rows_limit_before_the_shuffle(spark, small):
     events = table(spark, small, "events").select(F.col("event_type").alias("city"), F.col("ts").alias("date"))
     plan = last_rows(events, 48)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("WindowGroupLimit") < plan.rindex("WindowGroupLimit") and "Partial" in plan
+
+
+@pytest.mark.parametrize("kind", ["normal", "ties", "spike"])
+def test_wide_bands_are_ranked_range_by_range(spark, kind):
+    """A coarse sketch leaves bands of thousands of values; most of a spike lies on one value."""
+    rng = np.random.default_rng(8)
+    values = {"normal": rng.normal(size=30_000), "ties": rng.integers(0, 40, 30_000) * 1.0, "spike": np.where(rng.random(30_000) < 0.6, 5.0, rng.normal(5, 1e-9, 30_000))}[kind]
+    df = spark.createDataFrame(pd.DataFrame({"city": "a", "x": values})).union(spark.sql("SELECT 'b', 1.0D"))
+    got = {(r.city, r.q): r.value for r in quantiles(df, ["x"], ["city"], (0.0, 0.1, 0.5, 0.999, 1.0), accuracy=20).collect()}
+    for q in (0.0, 0.1, 0.5, 0.999, 1.0):
+        assert got["a", q] == pytest.approx(np.quantile(values, q), rel=1e-15, abs=1e-15) and got["b", q] == 1.0
