@@ -43,37 +43,40 @@ def problem(name: Column, arguments: Column, schemas: dict[str, dict[str, tuple[
             right = F.regexp_extract(own, r"^\w+", 0).isin(KINDS[kind])
             absent = own.isNull() | (own == "VOID")
             wrong.append(F.when(absent, F.lit(f"missing {field}") if required else F.lit(None)).when(~right, F.lit(f"{field} is no {kind}")))
-        known = F.concat(F.lit("$"), F.array_join(F.lit(sorted(fields)), "$"), F.lit("$"))
+        known = F.array(*[F.lit(f) for f in sorted(fields)]).cast("array<string>")
         keys = F.json_object_keys(arguments)
-        extra = F.exists(keys, lambda k: ~F.contains(known, F.concat(F.lit("$"), k, F.lit("$"))))
+        extra = F.exists(keys, lambda k: ~F.array_contains(known, k))
         shape = F.when(value.isNull() | keys.isNull(), "not a JSON object").when(extra, "unknown argument")
         found = F.when(name == tool, F.coalesce(shape, *wrong)).otherwise(found)
     return F.when(name.isNull(), "no tool").otherwise(found)
 
 
 def depths(calls: DataFrame, links: DataFrame) -> DataFrame:
-    """(conv_id, call_id, depth): 0 for calls that wait for none, else one more than the deepest
-    call they wait for. ``links`` has (conv_id, call_id, after); what refers to calls that don't
-    exist or to itself is left out. Calls in a circle, or behind one, have null.
+    """(conv_id, call_id, depth, at): depth is 0 for calls that wait for none, else one more than the
+    deepest call they wait for; ``at`` is the latest turn among a call's own and those of all it waits
+    for. ``links`` has (conv_id, call_id, after); what refers to calls that don't exist or to
+    itself is left out. Calls in a circle, or behind one, have null depth.
     """
     key = ["conv_id", "call_id"]
     known = calls.select(F.col("conv_id"), F.col("call_id").alias("after"))
     links = links.where("call_id <> after").join(known, ["conv_id", "after"]).distinct()
     links = stored(links, "waits")
-    waiting = stored(links.groupBy(*key).agg(F.count("*").alias("waits")), "waiting")
+    turns = calls.select(*key, F.col("turn").alias("at"))
+    waiting = stored(links.groupBy(*key).agg(F.count("*").alias("waits")).join(turns, key), "waiting")
     spark, found = calls.sparkSession, new_folder(calls.sparkSession, "depths")
-    calls.select(*key).join(waiting, key, "left_anti").withColumn("depth", F.lit(0)).write.parquet(found)
+    turns.join(waiting, key, "left_anti").select(*key, F.lit(0).alias("depth"), "at").write.parquet(found)
     last, level = spark.read.parquet(found), 0
     while not waiting.isEmpty() and not last.isEmpty():
         # only calls that still wait are looked at again
         level += 1
-        met = links.join(last.select("conv_id", F.col("call_id").alias("after")), ["conv_id", "after"])
-        met = met.groupBy(*key).agg(F.count("*").alias("met"))
+        met = links.join(last.select("conv_id", F.col("call_id").alias("after"), "at"), ["conv_id", "after"])
+        met = met.groupBy(*key).agg(F.count("*").alias("met"), F.max("at").alias("latest"))
         left = F.col("waits") - F.coalesce("met", F.lit(0))
-        step = stored(waiting.join(met, key, "left").select(*key, left.alias("waits")), "waiting")
+        latest = F.greatest("at", "latest").alias("at")  # of those that aren't null
+        step = stored(waiting.join(met, key, "left").select(*key, left.alias("waits"), latest), "waiting")
         last, waiting = step.where("waits = 0"), step.where("waits > 0")
-        last.select(*key, F.lit(level).alias("depth")).write.mode("append").parquet(found)
-    waiting.select(*key, F.lit(None).cast("int").alias("depth")).write.mode("append").parquet(found)
+        last.select(*key, F.lit(level).alias("depth"), "at").write.mode("append").parquet(found)
+    waiting.select(*key, F.lit(None).cast("int").alias("depth"), "at").write.mode("append").parquet(found)
     return spark.read.parquet(found)
 
 
@@ -99,7 +102,9 @@ def formatted(
 
     ``messages``: conv_id, turn, role, text. ``calls``: conv_id, turn, call_id, name, arguments
     (JSON text; the array under ``after`` names calls to wait for). ``results``: conv_id, call_id,
-    content. Step 0 is the message of a turn; a call has 1 + 2 * depth, its result the next.
+    content. Step 0 is the message of a turn; a call has 1 + 2 * depth, its result the next. A call that
+    waits for one of a later turn stands in that turn, with its result, so (turn, step) is an order in
+    which everything comes after what it waits for; a null turn counts as earlier than any other.
 
     Status: ``ok``; ``no result`` or ``no call`` where the other half is missing (a result without
     call has neither turn nor step); ``circle`` for calls that wait for themselves in the end (no
@@ -144,8 +149,9 @@ def formatted(
             ),
         )
     )
+    turn = F.when((F.col(RANK) == 1) & F.col("depth").isNotNull(), F.col("at")).otherwise(F.col("turn"))
     tools = linked.select(
-        F.coalesce("conv_id", "_c").alias("conv_id"), "turn", F.coalesce("call_id", "_i").alias("call_id"), F.explode(lines).alias("l")
+        F.coalesce("conv_id", "_c").alias("conv_id"), turn.alias("turn"), F.coalesce("call_id", "_i").alias("call_id"), F.explode(lines).alias("l")
     ).select("conv_id", "turn", "l.step", "l.kind", "call_id", "l.status", "l.line")
     loose_calls = calls.where(~named).select(
         "conv_id", "turn", F.lit(1).alias("step"), F.lit("call").alias("kind"), "call_id", F.lit("no result").alias("status"),

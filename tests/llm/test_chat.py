@@ -39,6 +39,8 @@ def test_what_is_no_json(spark):
         ("find", '{"q":"x","n":"3"}', "n is no integer"),
         ("find", '{"q":"x","n":3.5}', "n is no integer"),
         ("find", '{"q":"x","z":1}', "unknown argument"),
+        ("find", '{"q":"x","n$q":1}', "unknown argument"),
+        ("now", '{"":1}', "unknown argument"),
         ("find", "[1]", "not a JSON object"),
         ("find", None, "not a JSON object"),
         ("now", "{}", None),
@@ -55,9 +57,13 @@ def test_arguments_against_schemas(spark, name, arguments, said):
 
 def test_calls_stand_after_those_they_wait_for(spark):
     waits = {"a": [], "b": ["a"], "c": ["a", "b"], "d": ["c", "gone"], "e": ["e"], "x": ["y"], "y": ["x"], "z": ["x", "a"]}
-    calls = spark.createDataFrame([(1, k) for k in waits] + [(2, "b")], "conv_id long, call_id string")
+    turns = dict(zip(waits, [4, 2, None, 3, 5, 1, 1, 1], strict=True))
+    calls = spark.createDataFrame([(1, k, turns[k]) for k in waits] + [(2, "b", 7)], "conv_id long, call_id string, turn long")
     links = spark.createDataFrame([(1, k, w) for k, own in waits.items() for w in own] + [(2, "b", "a")], "conv_id long, call_id string, after string")
-    got = {(r.conv_id, r.call_id): r.depth for r in depths(calls, links).collect()}
+    rows = depths(calls, links).collect()
+    got = {(r.conv_id, r.call_id): r.depth for r in rows}
+    latest = {(r.conv_id, r.call_id): r.at for r in rows if r.depth is not None}
+    assert latest == {(1, "a"): 4, (1, "b"): 4, (1, "c"): 4, (1, "d"): 4, (1, "e"): 5, (2, "b"): 7}
     want = {"a": 0, "b": 1, "c": 2, "d": 3, "e": 0, "x": None, "y": None, "z": None}
     assert got == {(1, k): v for k, v in want.items()} | {(2, "b"): 0}
 
@@ -84,6 +90,24 @@ def test_links_statuses_and_lines(spark):
     assert len(got) == 12
 
 
+def test_a_call_that_waits_for_a_later_turn_stands_behind_it(spark):
+    calls = [(1, t, k, "find", json.dumps({"q": k, "after": own})) for t, k, own in [(3, "a", ["b"]), (5, "b", []), (4, "c", ["a"]), (6, "d", ["c"]), (None, "e", []), (None, "f", ["b", "e"])]]
+    got = lines(spark, calls, [(1, k, k) for k in "abcdef"])
+    place = {k: (got[1, k, "call"].turn, got[1, k, "call"].step) for k in "abcdef"}
+    assert place == {"a": (5, 3), "b": (5, 1), "c": (5, 5), "d": (6, 7), "e": (None, 1), "f": (5, 3)}
+    assert {r.status for r in got.values()} == {"ok"}
+    assert all((got[1, k, "result"].turn, got[1, k, "result"].step) == (place[k][0], place[k][1] + 1) for k in "abcdef")
+
+
+def test_clashing_columns_long_texts_and_null_turns(spark):
+    calls = spark.createDataFrame([(1, None, "a", "find", json.dumps({"q": "é" * 200_000}), "x", 3)], CALLS + ", _rank string, depth int")
+    messages = spark.createDataFrame([(1, None, "user", "y" * 300_000, 5, "z")], "conv_id long, turn long, role string, text string, step int, line string")
+    results = spark.createDataFrame([(1, "a", "n", 1)], "conv_id long, call_id string, content string, turn int")
+    rows = {r.kind: r for r in formatted(messages, calls, results, SCHEMAS).collect()}
+    assert {k: (r.turn, r.step, r.status) for k, r in rows.items()} == {"message": (None, 0, "ok"), "call": (None, 1, "ok"), "result": (None, 2, "ok")}
+    assert len(json.loads(json.loads(rows["call"].line)["arguments"])["q"]) == 200_000
+
+
 def test_empty_tables(spark):
     assert lines(spark, [], []) == {}
 
