@@ -152,9 +152,13 @@ def station_features(
     target: str = TARGET,
     nulls: str = "drop",
     shift: int = 0,
+    calendar: str | None = None,
 ) -> DataFrame:
     """Feature table of all stations: calendar, lags, rolling statistics, change rate.
 
+    Rows are ordered by the time of ``series``. ``calendar`` names another column, for instance a
+    local time, from which the calendar parts are taken.
+
     ``nulls`` says what happens to incomplete rows afterwards: ``keep`` them, ``drop`` them,
     fill forward and drop the rest (``ffill_drop``), or fill both ways (``ffill_bfill``).
     """
@@ -162,7 +166,7 @@ def station_features(
         raise ValueError(f"nulls must be one of {NULL_POLICIES}")
     featured = over_series(df, memory_columns(target, shift), series, back=48)
     ordered = [*df.columns, *calendar_columns(), *memory_columns()]
-    featured = featured.withColumns(calendar_columns(series.time))
+    featured = featured.withColumns(calendar_columns(calendar or series.time))
     if nulls.startswith("ffill"):
         featured = _fill(featured, None, series, reverse=False)
     if nulls == "ffill_bfill":

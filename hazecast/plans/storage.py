@@ -7,18 +7,21 @@ from pyspark.sql import functions as F
 
 from hazecast.models.evaluate import cv_average
 from hazecast.operators.layout import lift, row_positions
+from hazecast.operators.windows import station_features
 from hazecast.plans.analysis import AVERAGES, METRIC_VIEWS, ROUNDED_AVERAGES, AVERAGE_DIGITS, fold_metrics_frame
-from hazecast.plans.common import DAYS, TICKS, rounded
+from hazecast.plans.common import DAYS, HOURS, TICKS, rounded
 from hazecast.plans.features import ALL, STD
 from hazecast.plans.registry import query
 from hazecast.plans.sql import FEATURES, not_null, rounded_std, with_series
 from hazecast.schemas import RAW_HOURS, READINGS
 from hazecast.session import new_folder, stored
 from hazecast.sources import files, payloads
-from hazecast.sources.tables import series_days, shipment_ticks
+from hazecast.sources.tables import series_days, shipment_ticks, station_hours
 from hazecast.streaming.append import FeatureStore, append_stream
 
 DAY_SECONDS = 86_400
+ZONE = "Europe/Berlin"
+SPRING, AUTUMN = 75, 290  # days after those of the event stream
 
 
 def _yearly_payloads(spark: SparkSession, folder: str) -> DataFrame:
@@ -64,6 +67,60 @@ def json_payload_rows(spark, folder):
     return _naive(payloads.json_payload_rows(texts, READINGS))
 
 
+def _last_sunday(month: int) -> str:
+    """Instant at which clocks change: 01:00 UTC on the last Sunday of a month of 31 days."""
+    last = f"make_date(cast(year(date) AS bigint), {month}, 31)"
+    return f"({last} - cast(isodow({last}) % 7 AS int) + INTERVAL 1 HOUR)"
+
+
+# Winter days are moved to where clocks change, in spring and in autumn.
+MOVED_HOURS = f"""
+SELECT date + CASE city WHEN 'Karachi' THEN INTERVAL {SPRING} DAY ELSE INTERVAL {AUTUMN} DAY END AS date,
+       {', '.join(READINGS)}, city
+FROM station_hours
+"""
+# The twin knows the true instants. A repeated local hour whose first pass is missing is read as the first.
+LOCAL_HOURS = f"""
+SELECT *, date + CASE WHEN date >= {_last_sunday(3)} AND date < {_last_sunday(10)} THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END
+         AS local_date,
+       date >= {_last_sunday(10)} AND date < {_last_sunday(10)} + INTERVAL 1 HOUR AS second_pass
+FROM moved_hours
+"""
+READ_HOURS = f"""
+SELECT CASE WHEN second_pass AND count(*) OVER (PARTITION BY city, local_date) = 1 THEN date - INTERVAL 1 HOUR ELSE date END
+         AS date, local_date, {', '.join(READINGS)}, city
+FROM local_hours
+"""
+
+
+@query(
+    with_series(
+        f"SELECT local_date, {rounded_std()} FROM f WHERE {not_null(ALL)}",
+        moved_hours=MOVED_HOURS,
+        local_hours=LOCAL_HOURS,
+        read_hours=READ_HOURS,
+        f=f"SELECT *, {FEATURES.replace('(date)', '(local_date)')} FROM read_hours",
+    )
+)
+def local_payload_features(spark, folder):
+    """From payload files of a month each, in local time, to features: windows by instant, calendar by
+    local time, the station from the path."""
+    base = new_folder(spark, "payloads")
+    local = F.from_utc_timestamp("date", ZONE)
+    hours = station_hours(spark, folder)
+    moved = F.when(F.col("city") == "Karachi", SPRING).otherwise(AUTUMN) * DAY_SECONDS
+    hours = hours.withColumn("date", F.timestamp_seconds(F.unix_seconds(F.col("date").cast("timestamp")) + moved))
+    hours = hours.withColumns({"time": F.date_format(local, payloads.HOUR), "month": F.date_format(local, "yyyy-MM")})
+    ordered = F.array_sort(F.collect_list(F.struct("date", "time", *READINGS)))
+    packed = hours.groupBy("city", "month").agg(ordered.alias("_rows"))
+    hourly = F.struct(*[F.col(f"_rows.{c}").alias(c) for c in ("time", *READINGS)])
+    texts = packed.select("city", "month", F.to_json(F.struct(hourly.alias("hourly"))).alias("value"))
+    texts.write.partitionBy("city", "month").text(base)
+    read = payloads.read_json_payloads(spark, f"{base}/*/*/", READINGS, city="city=([^/]+)/", zone=ZONE)
+    featured = station_features(read.drop("source"), HOURS, calendar="local_date")
+    return rounded(_naive(featured), STD).select("local_date", *ALL)
+
+
 @query(with_series(f"SELECT date, {', '.join(READINGS)}, city FROM shipment_ticks"))
 def csv_round_trip(spark, folder):
     path = new_folder(spark, "csv")

@@ -15,6 +15,7 @@ from hazecast.functions.columns import parsed_time
 from hazecast.schemas import READINGS, hourly_json
 
 HOUR = "yyyy-MM-dd'T'HH:mm"
+SET_BACK = 3600  # seconds by which clocks are set back in autumn
 REASON = "_reason"
 
 
@@ -38,6 +39,8 @@ def json_payload_rows(
 
     Times are read as UTC. With ``zone`` they are local to it: ``date`` is then the instant, and
     ``local_date`` the time as given (without zone), from which calendar parts come out local.
+    Where clocks are set back by an hour, a time that a payload holds twice is first the earlier,
+    then the later instant; one that it holds once is the earlier.
     """
     return _rows(_json(payloads, variables, text, keep or ["city"], zone), variables, bad, zone)
 
@@ -79,10 +82,18 @@ def _json(payloads: DataFrame, variables: list[str], text: str, keep: list[str],
     parsed = payloads.withColumn("_p", F.from_json(text, hourly_json(variables)))
     axis = F.transform(F.col("_p.hourly.time"), lambda t: parsed_time(t, HOUR))
     if zone:
-        axis = F.transform(axis, lambda t: F.to_utc_timestamp(t, zone))
+        axis = F.transform(axis, lambda t, i: _instant(t, i, axis, zone))
     return _checked(parsed, axis, {v: F.col(f"_p.hourly.{v}") for v in variables}, keep)
 
 
+def _instant(wall: Column, i: Column, walls: Column, zone: str) -> Column:
+    """Instant of the i-th local time; looks back only in the hour that clocks repeat."""
+    early = F.to_utc_timestamp(wall, zone)
+    late = F.timestamp_micros(F.unix_micros(early) + SET_BACK * 1_000_000)
+    again = F.from_utc_timestamp(late, zone) == wall
+    return F.when(again & (F.array_position(walls, wall) <= i), late).otherwise(early)
+
+
 def _checked(payloads: DataFrame, axis: Column, arrays: dict[str, Column], keep: list[str]) -> DataFrame:
     """Kept columns, the time axis, arrays without gaps, and what is wrong (null: nothing)."""
     named = payloads.select(*keep, axis.alias("date"), *[a.alias(v) for v, a in arrays.items()])

@@ -197,3 +197,31 @@ def test_new_stations_are_streamed_to_their_last_day(spark, small):
     got = QUERIES["streamed_new_stations"].build(spark, small).groupBy("city").agg(F.count("*").alias("rows"), F.max("date").alias("last"))
     whole = series_days(spark, small).groupBy("city").agg((F.count("*") - 48).alias("rows"), F.max("date").cast("timestamp_ntz").alias("last"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_local_times_around_the_clock_change(spark):
+    """A repeated hour becomes two instants; one missing its first pass, and any other zone, stays."""
+    twice = ["2024-10-27T01:30", "2024-10-27T02:00", "2024-10-27T02:30", "2024-10-27T02:00", "2024-10-27T02:30", "2024-10-27T03:00"]
+    skipped = ["2024-03-31T01:00", "2024-03-31T03:00"]
+    same = ["2024-06-01T05:00", "2024-06-01T05:00", "bad"]
+    made = {"twice": twice, "once": twice[3:], "skipped": skipped, "same": same}
+    texts = [(c, json.dumps({"hourly": {"time": t, "pm10": [float(i) for i in range(len(t))]}})) for c, t in made.items()]
+    df = spark.createDataFrame(texts, "city string, payload string")
+    rows = payloads.json_payload_rows(df, ["pm10"], zone="Europe/Berlin")
+    got = {c: [] for c in made}
+    for r in rows.selectExpr("city", "date_format(date, 'MM-dd HH:mm') AS date", "date_format(local_date, 'HH:mm') AS own").orderBy("pm10").collect():
+        got[r.city].append((r.date, r.own))
+    assert [d for d, _ in got["twice"]] == ["10-26 23:30", "10-27 00:00", "10-27 00:30", "10-27 01:00", "10-27 01:30", "10-27 02:00"]
+    assert [o for _, o in got["twice"]] == [t[11:] for t in twice]
+    assert got["once"] == [("10-27 00:00", "02:00"), ("10-27 00:30", "02:30"), ("10-27 02:00", "03:00")]
+    assert got["skipped"] == [("03-31 00:00", "01:00"), ("03-31 01:00", "03:00")]
+    assert got["same"] == [("06-01 03:00", "05:00"), ("06-01 03:00", "05:00"), (None, None)]
+
+
+def test_calendar_of_another_column(spark):
+    rows = [(dt.datetime(2024, 1, 1, 22) + dt.timedelta(hours=i), "a", float(i % 7)) for i in range(60)]
+    df = spark.createDataFrame(rows, "date timestamp, city string, us_aqi double")
+    df = df.withColumn("local", F.col("date").cast("timestamp_ntz") + F.expr("INTERVAL 5 HOUR"))
+    got = windows.station_features(df, Series(), nulls="keep", calendar="local").orderBy("date").collect()
+    assert [r.hour for r in got] == [(27 + i) % 24 for i in range(60)]
+    assert [r.aqi_lag_24 for r in got] == [None] * 24 + [float(i % 7) for i in range(36)]
