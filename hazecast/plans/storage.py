@@ -13,11 +13,12 @@ from hazecast.plans.common import DAYS, HOURS, TICKS, rounded
 from hazecast.plans.features import ALL, STD
 from hazecast.plans.registry import query
 from hazecast.plans.sql import FEATURES, not_null, rounded_std, with_series
-from hazecast.schemas import RAW_HOURS, READINGS
+from hazecast.schemas import FEATURE_HOURS, RAW_HOURS, READINGS, TARGET
 from hazecast.session import new_folder, stored
 from hazecast.sources import files, payloads
 from hazecast.sources.tables import series_days, shipment_ticks, station_hours
 from hazecast.streaming.append import FeatureStore, append_stream
+from hazecast.streaming.event_time import follow
 
 DAY_SECONDS = 86_400
 ZONE = "Europe/Berlin"
@@ -187,3 +188,34 @@ def streamed_new_stations(spark, folder):
         drop.drop("_pos").write.mode("append").parquet(drops)
         append_stream(store, drops, f"{base}/progress", once=True).awaitTermination()
     return rounded(_naive(store.read()), STD).select(*ALL)
+
+
+LATE_HOURS = 24
+DROP_HOURS = 240
+
+
+@query(
+    with_series(
+        f"SELECT {rounded_std()} FROM f WHERE date <= newest - INTERVAL {LATE_HOURS} HOUR",
+        f=f"SELECT *, {FEATURES}, max(date) OVER (PARTITION BY city) AS newest FROM station_hours",
+    )
+)
+def event_time_features(spark, folder):
+    """Hours that arrive out of order, twice (the second time changed), and for one city days behind
+    the others, through a stream that is started anew for every drop."""
+    base = new_folder(spark, "stream")
+    hours = station_hours(spark, folder).withColumn("date", F.col("date").cast("timestamp"))
+    chance = F.pmod(F.xxhash64("date", "city"), F.lit(60))
+    behind = F.when(F.col("city") == "Karachi", 130).otherwise(0)
+    hours = stored(hours.select("date", *READINGS, "city", chance.alias("chance")), "hours")
+    begin = hours.agg(F.min(F.unix_seconds("date"))).first()[0] or 0
+    came = (F.unix_seconds("date") - begin) / 3600 + F.col("chance") % 12 + behind
+    placed = hours.withColumn("drop", F.floor(came / DROP_HOURS))
+    again = placed.where("chance < 12").withColumns({TARGET: F.col(TARGET) + 1000, "drop": F.col("drop") + 1})
+    placed = stored(placed.unionByName(again), "placed", "drop")
+    last = placed.agg(F.max("drop")).first()[0]
+    for drop in range(0 if last is None else int(last) + 1):
+        arrived = placed.where(F.col("drop") == drop).select("date", *READINGS, "city")
+        arrived.write.mode("append").parquet(f"{base}/drops")
+        follow(spark, f"{base}/drops", f"{base}/rows", f"{base}/progress", late_hours=LATE_HOURS, once=True).awaitTermination()
+    return rounded(_naive(spark.read.schema(FEATURE_HOURS).parquet(f"{base}/rows")), STD).select(*ALL)
