@@ -98,30 +98,43 @@ class Restorer:
         p3 = (three + PRIOR * p2) / (three.sum(2, keepdims=True) + PRIOR)
         return cls(np.log(p3))
 
+    def __post_init__(self):
+        self.reach = 2 * float(-self.log.min())
+        self.flat = self.log.ravel().tolist()
+
     def restored(self, noisy: str) -> str:
-        """The likeliest word behind a noisy form. The empty path wins only if nothing is a letter."""
-        log = self.log
-        states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
+        """The likeliest word behind a noisy form. The empty path wins only if nothing is a letter.
+
+        Letters of other scripts stand for themselves. Search drops a state only if it can't win any
+        more: with the same choices (or, where it drops one more of its last letter, by taking that
+        letter) the best state becomes the same state within two letters, each of which costs it at
+        most the least log probability. So time grows with the length alone.
+        """
+        flat = self.flat
+        # a state: classes of the last two letters, and whether there is a letter at all
+        states: dict[tuple[int, int, bool], tuple[float, tuple]] = {(0, 0, False): (0.0, ())}
         for i, char in enumerate(noisy):
             stretched = STRETCHED if char * 3 in noisy[max(0, i - 2) : i + 3] else DOUBLED
             letter = LETTERS.find(char) + 1
-            options = [(letter, 0.0)] if letter else [(LETTERS.index(m) + 1, REPLACED) for m in MEANT.get(char, "")]
+            options = [(letter, char, 0.0)] if letter or char.isalpha() else [(LETTERS.index(m) + 1, m, REPLACED) for m in MEANT.get(char, "")]
             dropped = LOST if letter or char.isalnum() else DROPPED
-            after: dict[tuple[int, int], tuple[float, tuple]] = {}
-            for (a, b), (score, path) in states.items():
-                found = [((b, x), score + cost + log[a, b, x], (x, path)) for x, cost in options]
-                found.append(((a, b), score + (stretched if letter and letter == b else dropped), path))
+            after: dict[tuple[int, int, bool], tuple[float, tuple]] = {}
+            for (a, b, any_), (score, path) in states.items():
+                at = (a * KINDS + b) * KINDS
+                found = [((b, x, True), score + cost + flat[at + x], (own, path)) for x, own, cost in options]
+                found.append(((a, b, any_), score + (stretched if letter and letter == b else dropped), path))
                 for state, total, own in found:
                     if state not in after or total > after[state][0]:
                         after[state] = total, own
-            states = after
+            best = max((total for (_, _, any_), (total, _) in after.items() if any_), default=-math.inf) - self.reach
+            states = {s: v for s, v in after.items() if v[0] >= best}
         _, path = max(
-            ((score + log[a, b, 0], path) for (a, b), (score, path) in states.items()), key=lambda x: (bool(x[1]), x[0])
+            ((score + flat[(a * KINDS + b) * KINDS], path) for (a, b, _), (score, path) in states.items()), key=lambda x: (bool(x[1]), x[0])
         )
         letters = []
         while path:
             letter, path = path
-            letters.append(LETTERS[letter - 1])
+            letters.append(letter)
         return "".join(reversed(letters))
 
     def word(self, token: str) -> str:

@@ -1,9 +1,13 @@
+import itertools
 import math
+import time
 
 import numpy as np
 import pytest
 
-from hazecast.llm.toxicity import KINDS, LETTERS, Restorer, clean, fit, scored, trigram_counts
+from hazecast.llm.toxicity import (
+    DOUBLED, DROPPED, KINDS, LETTERS, LOST, MEANT, REPLACED, STRETCHED, Restorer, clean, fit, scored, trigram_counts,
+)
 
 
 @pytest.fixture(scope="module")
@@ -54,6 +58,58 @@ def test_viterbi_finds_the_best_path():
         assert restorer.restored(noisy) == max(paths, key=score)
 
 
+def best_by_enumeration(restorer, noisy):
+    """Total of the best path among all: every character kept, replaced or dropped."""
+    ways = []
+    for char in noisy:
+        own = [(char, 0.0)] if char.isalpha() else [(m, REPLACED) for m in MEANT.get(char, "")]
+        ways.append([*own, (None, None)])
+    totals = {}
+    for path in itertools.product(*ways):
+        total, kept = 0.0, [0, 0]
+        for i, (own, cost) in enumerate(path):
+            kind = LETTERS.find(noisy[i]) + 1
+            if own is not None:
+                kept.append(LETTERS.find(own) + 1)
+                total += cost + restorer.log[kept[-3], kept[-2], kept[-1]]
+            elif kind and kind == kept[-1]:
+                total += STRETCHED if noisy[i] * 3 in noisy[max(0, i - 2) : i + 3] else DOUBLED
+            else:
+                total += LOST if noisy[i].isalnum() else DROPPED
+        total += restorer.log[kept[-2], kept[-1], 0]
+        word = "".join(own for own, _ in path if own is not None)
+        totals[word] = max(total, totals.get(word, -math.inf))
+    found = {w: t for w, t in totals.items() if w} or totals
+    return found
+
+
+@pytest.mark.parametrize("spread", [1, 50, 10**9])
+def test_restored_words_by_enumeration(spread):
+    """The pruned search finds a best path, under flat and under steep character models."""
+    draw = np.random.default_rng(spread)
+    restorer = Restorer.from_counts(np.floor(spread ** draw.random((KINDS,) * 3)))
+    alphabet = list("aabe101$|.-éд!")
+    for _ in range(60):
+        noisy = "".join(draw.choice(alphabet, int(draw.integers(0, 8))))
+        noisy = noisy.replace("a", "a" * int(draw.integers(1, 4)), 1)
+        found = best_by_enumeration(restorer, noisy)
+        assert found[restorer.restored(noisy)] == pytest.approx(max(found.values()), abs=1e-6), noisy
+
+
+def test_long_noisy_words_take_linear_time(model):
+    draw = np.random.default_rng(3)
+    word = "".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz0123456789+/"), 200_000))
+    begun = time.perf_counter()
+    assert len(model.restorer.restored(word)) > 100_000
+    assert time.perf_counter() - begun < 20
+
+
+def test_other_scripts_stay(model):
+    assert model.restorer.word("дур-ак") == "дурак"
+    assert model.restorer.word("głup.i") == "głupi"
+    assert model.restorer.word("_дурак_") == "дурак"
+
+
 def test_spaced_letters_are_joined(model):
     assert "idiot" in model.restorer.words("he is an i d i o t really", {})
     assert "stupid" in model.restorer.words("so s-t-u-p-i-d is that", {})
