@@ -47,6 +47,7 @@ def sampled_shapley(
     series: Series = Series(),
     *,
     permutations: int = 20,
+    paired: bool = False,
     model: str = "random_forest",
     seed: int = 42,
 ) -> DataFrame:
@@ -58,6 +59,10 @@ def sampled_shapley(
     seed, so they do not depend on partitioning. The values of a row add up to its prediction
     less the mean prediction of the background rows drawn for it. Rows whose station has no
     background, and incomplete rows, get null values.
+
+    With ``paired``, features join in each order and in its reverse: twice the steps, but effects of
+    two features at a time come out without error of the order. ``se`` is the standard error of a
+    value over the permutations (pairs of them), null for a single one.
     """
     key, time, p = series.key, series.time, len(features)
     tried = drawn_background(rows, background, features, series, permutations=permutations, seed=seed)
@@ -65,6 +70,8 @@ def sampled_shapley(
         F.array(*[F.struct(F.xxhash64(F.lit(seed), key, time, "_try", F.lit(j)), F.lit(j).alias("j")) for j in range(p)])
     )
     tried = tried.withColumn("_order", F.transform(order, lambda s: s["j"]))
+    if paired:
+        tried = tried.withColumn("_order", F.explode(F.array("_order", F.reverse("_order"))))
 
     steps = tried.withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(p))))
     joined = F.slice("_order", 1, F.col("_step"))
@@ -84,11 +91,22 @@ def sampled_shapley(
         )
     )
     names = F.array(*[F.lit(c) for c in features])
+    # one gain a try and feature, then moments over the tries
+    tries = (
+        scored.select(key, time, "_try", "_x", F.explode(gains).alias("_g"))
+        .groupBy(key, time, "_try", "_g.j")
+        .agg(
+            F.when(F.count("_g.gain") == F.count("*"), F.sum("_g.gain") / (2 if paired else 1)).alias("gain"),
+            F.first("_x").alias("_x"),
+        )
+    )
+    known = F.count("gain") == F.count("*")
+    error = F.when(F.count("*") > 1, F.stddev_samp("gain") / F.sqrt(F.count("*")))
     return (
-        scored.select(key, time, "_x", F.explode(gains).alias("_g"))
-        .groupBy(key, time, "_g.j")
+        tries.groupBy(key, time, "j")
         .agg(
-            F.when(F.count("_g.gain") == F.count("*"), F.sum("_g.gain") / permutations).alias("phi"),
+            F.when(known, F.sum("gain") / permutations).alias("phi"),
+            F.when(known, error).alias("se"),
             F.first("_x").alias("_x"),
         )
         .select(
@@ -98,6 +116,7 @@ def sampled_shapley(
             F.get(names, F.col("j")).alias("feature"),
             F.get("_x", F.col("j")).alias("value"),
             "phi",
+            "se",
         )
     )
 

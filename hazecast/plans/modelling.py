@@ -492,3 +492,36 @@ def shapley_adds_up(spark, folder):
     joined = sums.join(base, ["city", "date"]).join(scorer(frame).select("city", "date", "pred"), ["city", "date"])
     gap = F.abs(F.round(F.col("phi") - F.col("pred") + F.col("base"), 4))
     return joined.select("date", "city", "features", gap.alias("gap"))
+
+
+FOUR = ["pm10", "pm2_5", "dust", "ozone"]
+
+
+def _products(df):
+    """A model whose features act in pairs."""
+    return df.withColumn("pred", F.col("pm10") * F.col("pm2_5") + 2 * F.col("dust") * F.col("ozone"))
+
+
+@query(
+    with_series(
+        "SELECT date, city, feature, 0.0::DOUBLE AS gap, true AS has_error "
+        f"FROM series_days, (VALUES {', '.join(f"('{c}')" for c in FOUR)}) AS four(feature)"
+    )
+)
+def paired_shapley_closed_form(spark, folder):
+    """Paired attribution of products of two features less the closed form over the same draws."""
+    days = stored(series_days(spark, folder), "days")
+    phis = attribution.sampled_shapley(days, days, FOUR, _products, DAYS, permutations=5, paired=True)
+    drawn = attribution.drawn_background(days, days, FOUR, DAYS, permutations=5)
+
+    def share(a, b, weight):
+        x, base = F.col("_x"), F.col("_base")
+        return weight * (x[a] - base[a]) * (x[b] + base[b]) / 2
+
+    exact = F.array(share(0, 1, 1), share(1, 0, 1), share(2, 3, 2), share(3, 2, 2))
+    named = drawn.select("city", "date", F.posexplode(exact).alias("_j", "share"))
+    named = named.withColumn("feature", F.get(F.array(*[F.lit(c) for c in FOUR]), F.col("_j")))
+    means = named.groupBy("city", "date", "feature").agg(F.avg("share").alias("share"))
+    gap = F.abs(F.round(F.col("phi") - F.col("share"), 4))
+    joined = phis.join(means, ["city", "date", "feature"])
+    return joined.select("date", "city", "feature", gap.alias("gap"), (F.col("se") >= 0).alias("has_error"))

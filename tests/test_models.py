@@ -205,6 +205,44 @@ def test_sampled_shapley_adds_up_and_finds_linear_weights(spark):
     assert ranked.groupby("city")["mean_abs_phi"].apply(lambda v: v.is_monotonic_decreasing).all()
 
 
+def test_paired_orders_and_their_standard_error(spark):
+    """Exact values by all orders and all background rows lie within the error that is given."""
+    import itertools
+
+    df = spark.createDataFrame(training(60)).where(F.col("city") == training(60)["city"].iloc[0])
+
+    def model(row):
+        return row[0] * row[1] + row[2] * row[0] * row[1] + row[3]
+
+    def scorer(rows):
+        return rows.withColumn("pred", model([F.col(c) for c in NAMES]))
+
+    explained = df.orderBy("date").limit(5)
+    background = df.select(*NAMES).toPandas().to_numpy()
+    rows = explained.select("date", *NAMES).toPandas()
+    exact = {}
+    for date, *x in rows.itertuples(index=False):
+        total = np.zeros(4)
+        for order in itertools.permutations(range(4)):
+            now = background.copy()
+            before = model(now.T)
+            for j in order:
+                now[:, j] = x[j]
+                after = model(now.T)
+                total[j] += (after - before).mean()
+                before = after
+        exact |= {(date, c): v / 24 for c, v in zip(NAMES, total, strict=True)}
+
+    found = {}
+    for paired in (False, True):
+        found[paired] = attribution.sampled_shapley(explained, df, NAMES, scorer, SERIES, permutations=150, paired=paired).toPandas()
+        z = [(r.phi - exact[r.date, r.feature]) / r.se for r in found[paired].itertuples() if r.se > 1e-12]
+        assert len(z) >= 15 and np.abs(z).max() < 4.5 and np.sqrt(np.mean(np.square(z))) < 2
+    assert found[True]["se"].mean() < found[False]["se"].mean()
+    single = attribution.sampled_shapley(explained, df, NAMES, scorer, SERIES, permutations=1).toPandas()
+    assert single["se"].isna().all() and single["phi"].notna().all()
+
+
 def test_all_models_side_by_side(spark):
     df = spark.createDataFrame(training(100))
     parts = {
