@@ -1,11 +1,13 @@
+import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from hazecast.llm.quality import filtered, judged, sketches, text_stats, thresholds
+from hazecast.llm.quality import ERROR, METRICS, REACH, filtered, judged, sketches, text_stats, thresholds
 
 
 def slow(text):
@@ -37,6 +39,52 @@ def test_rows_against_brute_force(odd, odd_rows, none):
     assert judged(none).count() == 0 and filtered(none).columns == none.columns
 
 
+def slow_verdicts(rows, least):
+    """(doc_id, kept) by sorted lists of rounded values per group."""
+    base, measured = math.log((1 + ERROR) / (1 - ERROR)), []
+    for doc_id, text, lang, source, *_ in rows:
+        stats = dict(zip(["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"], slow(text or ""), strict=True))
+        failed = stats["n_words"] < 10 or 100 * stats["n_repeat_words"] > 20 * stats["n_words"]
+        values = {m: stats[a] / stats[b] for m, (a, b, _, _) in METRICS.items() if stats[b]}
+        measured.append((doc_id, lang, source, failed, values))
+    held = defaultdict(list)
+    for _, lang, source, failed, values in measured:
+        for metric, v in values.items() if not failed else ():
+            near = math.exp(math.ceil(math.log(v) / base) * base) * (1 - ERROR) if v else 0.0
+            for group in {(lang, source), (lang, "*"), ("*", "*")}:
+                held[group, metric].append(near)
+    out = []
+    for doc_id, lang, source, failed, values in measured:
+        keep = not failed
+        for metric, v in values.items() if keep else ():
+            choices = [held[g, metric] for g in [(lang, source), (lang, "*")] if len(held[g, metric]) >= least]
+            ranked = sorted((choices or [held[("*", "*"), metric]])[0])
+            q1, q3 = (ranked[math.ceil(share * len(ranked)) - 1] for share in (0.25, 0.75))
+            _, _, floor, both = METRICS[metric]
+            reach = REACH * max(q3 - q1, floor)
+            keep &= v <= q3 + reach and (not both or v >= q1 - reach)
+        out.append((doc_id, keep))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("least", [2, 6, 200])
+def test_verdicts_against_brute_force(spark, odd, odd_rows, least):
+    draw = np.random.default_rng(least)
+    plain = "some words of very common length stand here in many texts today".split()
+    strange = ["incomprehensibilities", "##", "a"]
+    more = []
+    for i in range(60):
+        words = draw.choice(plain, 40).tolist() + draw.choice(strange, 30 * (i % 6 == 0)).tolist()
+        text = " ".join(words[:20]) + "\n" + " ".join(words[20:]) + ("\nsame line\nsame line" if i % 7 == 0 else "")
+        more.append((100 + i, text, ["en", "fr"][i % 2], ["a", None][i % 5 == 0], None, "x", i, "y", 1))
+    df = odd.unionByName(spark.createDataFrame(more, odd.schema))
+    got = sorted(((r.doc_id, r.kept) for r in judged(df, least=least).collect()), key=str)
+    want = slow_verdicts(odd_rows + more, least)
+    assert got == want
+    passed = [k for (d, k) in want if d is not None and d >= 100]
+    assert any(passed) and not all(passed)
+
+
 def figures(spark, n=900):
     draw = np.random.default_rng(0)
     rows = []
