@@ -96,7 +96,7 @@ FROM local_hours
 
 @query(
     with_series(
-        f"SELECT local_date, {rounded_std()} FROM f WHERE {not_null(ALL)}",
+        f"SELECT local_date, {rounded_std()} FROM f",
         moved_hours=MOVED_HOURS,
         local_hours=LOCAL_HOURS,
         read_hours=READ_HOURS,
@@ -118,7 +118,7 @@ def local_payload_features(spark, folder):
     texts = packed.select("city", "month", F.to_json(F.struct(hourly.alias("hourly"))).alias("value"))
     texts.write.partitionBy("city", "month").text(base)
     read = payloads.read_json_payloads(spark, f"{base}/*/*/", READINGS, city="city=([^/]+)/", zone=ZONE)
-    featured = station_features(read.drop("source"), HOURS, calendar="local_date")
+    featured = station_features(read.drop("source"), HOURS, nulls="keep", calendar="local_date")
     return rounded(_naive(featured), STD).select("local_date", *ALL)
 
 
