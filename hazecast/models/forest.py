@@ -8,7 +8,8 @@ the size of the largest group only.
 
 The model is a table of pieces: a split of a large node, or the arrays of a finished subtree. Rows are routed
 through the pieces of their group in slices of bounded size: pieces are sent once a slice, and rows
-stream behind them, so neither a group's rows nor the whole model ever lie in one task.
+stream behind them. To the slices of a group with large nodes go its splits only; the routed rows then meet
+the one subtree of their node, so neither a group's rows nor the whole model ever lie in one task.
 """
 
 from __future__ import annotations
@@ -126,9 +127,9 @@ class Pieces:
         tree, node = row["tree"], row["node"]
         if tree < 0:
             self.edges[node] = np.array(row["threshold"])
-        elif row["feature"] is None:
+        elif not row["feature"]:
             self.open[tree, node] = len(self.open)
-        elif row["left"] is None:
+        elif not row["left"]:
             self.splits.setdefault(tree, []).append((node, row["feature"][0], row["threshold"][0]))
         else:
             self.subtrees[tree, node] = tuple(np.array(row[c]) for c in ("feature", "threshold", "left", "value"))
@@ -182,11 +183,13 @@ def _slices() -> Column:
 def _behind_pieces(rows: DataFrame, sizes: DataFrame, pieces: DataFrame, use: Use, schema: T.StructType | str) -> DataFrame:
     """``use`` on the rows of each slice of a group behind the group's pieces."""
     kept = [c for c in rows.columns if c not in ("_g", "_slice")]
-    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in PIECES]
+    # empty arrays, never null ones: each null in an array column costs Arrow's writer a pass over its batch
+    empty = [_blank(f.dataType).alias(f.name) for f in PIECES]
     body = rows.select("_g", "_slice", F.lit(1).alias("_kind"), *empty, *[F.col(f"`{c}`") for c in kept])
     wanted = sizes.select("_g", F.explode(F.sequence(F.lit(0).cast("long"), _slices() - 1)).alias("_slice"))
-    nothing = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in kept]
-    heads = pieces.join(wanted, "_g").select("_g", "_slice", F.lit(0).alias("_kind"), *PIECES.names, *nothing)
+    nothing = [_blank(rows.schema[c].dataType).alias(c) for c in kept]
+    sent = [F.coalesce(f.name, _blank(f.dataType)).alias(f.name) for f in PIECES]
+    heads = pieces.join(wanted, "_g").select("_g", "_slice", F.lit(0).alias("_kind"), *sent, *nothing)
     order = ["_g", "_slice", "_kind"]
     together = heads.union(body).repartition("_g", "_slice").sortWithinPartitions(*order)
 
@@ -211,13 +214,19 @@ def _behind_pieces(rows: DataFrame, sizes: DataFrame, pieces: DataFrame, use: Us
     return together.mapInArrow(run, schema)
 
 
+def _total(rows: str | Column, field: str) -> Column:
+    """Sum of a field of an array of structs, in its order."""
+    return F.aggregate(rows, F.lit(0).cast("long" if field == "n" else "double"), lambda acc, r: acc + r[field])
+
+
 def _best_splits(sums: DataFrame) -> DataFrame:
     """(_g, tree, node, feature, bin, mean, sides) of the best split of each node, with (node, n, mean) of its
     children; feature and sides are null where there is none. A feature has BINS bins at most."""
     key = ["_g", "tree", "node"]
-    totals = sums.where("feature = 0").groupBy(*key).agg(*[F.sum(c).alias(f"all_{c}") for c in ("n", "w", "wy")])
     own = F.array_sort(F.collect_list(F.struct("bin", "n", "w", "wy"))).alias("bins")
-    lists = sums.groupBy(*key, "feature").agg(own).join(totals, key)
+    # each feature's bins hold all rows of the node: no second reading of the sums
+    totals = [_total("bins", c).alias(f"all_{c}") for c in ("n", "w", "wy")]
+    lists = sums.groupBy(*key, "feature").agg(own).select("*", *totals)
     zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("w"), F.lit(0.0).alias("wy"), F.lit(-1.0).alias("gain"), F.lit(-1).alias("bin"), F.lit(0).cast("long").alias("left_n"), F.lit(0.0).alias("left_w"), F.lit(0.0).alias("left_wy"))
 
     def step(acc, b):
@@ -247,6 +256,10 @@ def _nothing(kind: str) -> Column:
     return F.lit(None).cast(kind)
 
 
+def _blank(kind: T.DataType) -> Column:
+    return (F.array() if isinstance(kind, T.ArrayType) else F.lit(None)).cast(kind)
+
+
 def _top(rows: DataFrame, sizes: DataFrame, p: int, trees: int, depth: int, small: int, bootstrap: bool) -> tuple[DataFrame, bool]:
     """Splits and leaves above the small nodes of large groups, and whether there are small nodes."""
     spark = rows.sparkSession
@@ -279,6 +292,8 @@ def _top(rows: DataFrame, sizes: DataFrame, p: int, trees: int, depth: int, smal
                 at, w = held.routed(tree, x), draws(ids, tree, bootstrap)
                 place = np.array([own.get(n, -1) for n in at.tolist()])
                 in_ = np.flatnonzero((place >= 0) & (w > 0))
+                if not len(in_):  # an empty bincount holds integers, whatever the weights
+                    continue
                 for j in range(p):
                     code, inverse = np.unique(place[in_] * (BINS + 1) + bins[in_, j], return_inverse=True)
                     sums = [np.bincount(inverse, v, len(code)) for v in (np.ones(len(in_)), w[in_], w[in_] * y[in_])]
@@ -397,16 +412,16 @@ def score_forest(
     name: str = "random_forest_pred",
 ) -> DataFrame:
     """All rows of ``df`` with the mean prediction of their group's trees; null where the row is incomplete or its
-    group has no forest. One plan whatever the groups: rows are shuffled once, beside a count of each group."""
+    group has no forest. One plan whatever the groups: rows are shuffled once, beside a count of each group. Where
+    a forest has large nodes, its distinct rows are shuffled to their nodes, each tree apart."""
     by, p = by or [series.key], len(features)
     filled = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features])
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in features])
     fields = [f for f in df.schema if f.name != name]
     # as one column, the frame's own cannot clash with those used here
     whole = F.struct(*[F.col(f"`{f.name}`") for f in fields]).alias("row")
-    rows = df.select(_group(by).alias("_g"), whole, filled.alias("x"), complete.alias("complete"), F.xxhash64(filled).alias("id"))
+    rows = df.select(_group(by).alias("_g"), whole, filled.alias("x"), complete.alias("complete"))
     sizes = df.groupBy(_group(by).alias("_g")).agg(F.count("*").alias("n"))
-    rows = _sliced(rows, sizes, F.col("id")).drop("id")
     trained = pieces.select(_group(by).alias("_g"), *PIECES.names)
     schema = T.StructType([*fields, T.StructField(name, T.DoubleType())])
 
@@ -415,7 +430,49 @@ def score_forest(
         known = batch.column("complete").to_numpy(zero_copy_only=False) & ~np.isnan(found)
         yield pa.RecordBatch.from_arrays([*batch.column("row").flatten(), pa.array(found, mask=~known)], schema.names)
 
-    return _behind_pieces(rows, sizes, trained, predict, schema).select(*[F.col(f"`{f.name}`") for f in fields], name)
+    def scored(rows: DataFrame, trained: DataFrame) -> DataFrame:
+        return _behind_pieces(_sliced(rows, sizes, F.xxhash64("x")), sizes, trained, predict, schema)
+
+    names = [F.col(f"`{f.name}`") for f in fields]
+    deep = trained.where("left is null").select("_g").distinct()
+    if deep.isEmpty():
+        return scored(rows, trained).select(*names, name)
+    # a group with splits has a model of the size of its rows: each row is sent to its nodes instead
+    marked = rows.join(F.broadcast(deep.withColumn("deep", F.lit(True))), "_g", "left")
+    below = F.coalesce("deep", F.lit(False)) & F.col("complete")
+    far = marked.where(below).drop("deep", "complete")
+    near = scored(marked.where(~below).drop("deep"), trained.join(deep, "_g", "left_anti"))
+    found = _deep_predictions(far.select("_g", "x").distinct(), sizes.join(deep, "_g"), trained.join(deep, "_g"), p)
+    far = far.join(found, ["_g", "x"], "left").select("row.*", F.col("_pred").alias(name))
+    return near.select(*names, name).union(far)
+
+
+def _deep_predictions(rows: DataFrame, sizes: DataFrame, pieces: DataFrame, p: int) -> DataFrame:
+    """(_g, x, _pred) of distinct rows (_g, x): routed by the splits, then each valued by the subtrees of its nodes."""
+    ends = F.col("left").isNotNull()
+    arrays = [F.when(~ends, F.col(f.name)).alias(f.name) for f in PIECES[2:]]
+
+    def route(held: Pieces, group: str, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        x = _matrix(batch.column("x"), p)
+        for tree in sorted({t for t, _ in held.open}):
+            columns = [batch.column("_g"), batch.column("x"), pa.array(np.full(len(x), tree, np.int32)), pa.array(held.routed(tree, x))]
+            yield pa.RecordBatch.from_arrays(columns, ["_g", "x", "tree", "node"])
+
+    light = pieces.select("_g", "tree", "node", *arrays)
+    routed = _behind_pieces(_sliced(rows, sizes, F.xxhash64("x")), sizes, light, route, "_g string, x array<double>, tree int, node long")
+    routed = stored(routed.select(_group(["_g", "tree", "node"]).alias("_at"), "*"), "routed").withColumnsRenamed({"_g": "group", "_at": "_g"})
+    held = routed.groupBy("_g").agg(F.count("*").alias("n"))
+    subtrees = pieces.where(ends).select(_group(["_g", "tree", "node"]).alias("_g"), *PIECES.names)
+
+    def value(held: Pieces, _: str, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        (piece,) = held.subtrees.values()
+        values = pa.array(walked(piece, _matrix(batch.column("x"), p)))
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("group", "x", "in_tree")), values], ["_g", "x", "tree", "value"])
+
+    body = _sliced(routed.select("_g", "group", "x", F.col("tree").alias("in_tree")), held, F.xxhash64("x"))
+    valued = _behind_pieces(body, held, subtrees, value, "_g string, x array<double>, tree int, value double")
+    each = F.array_sort(F.collect_list(F.struct("tree", "value")))  # summed in the order of the trees
+    return valued.groupBy("_g", "x").agg((_total(each, "value") / F.count("*")).alias("_pred"))
 
 
 def cross_validated_forest(

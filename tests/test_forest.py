@@ -130,3 +130,35 @@ def jobs_and_scans(spark, stations):
 def test_jobs_and_plan_do_not_grow_with_stations(spark):
     few, many = jobs_and_scans(spark, 3), jobs_and_scans(spark, 30)
     assert few == many and few[2] == 1
+
+
+def test_batches_without_rows_of_large_nodes(spark):
+    """Small batches: from some level on many hold no row of a node that is still split."""
+    df = spark.createDataFrame(training(300))
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "3")
+    try:
+        pieces = forest.fit_forest(df, NAMES, series=SERIES, trees=1, depth=60, small=20, bootstrap=False)
+        rows = df.union(df).union(odd_training(spark, 3).where("f0 IS NULL OR city = 'one'").select(*df.columns))
+        scored = forest.score_forest(rows, pieces, NAMES, SERIES).collect()
+    finally:
+        spark.conf.set(setting, before)
+    assert len(scored) == rows.count()
+    known = [r for r in scored if r.random_forest_pred is not None]
+    assert len(known) == 2 * df.count() and all(abs(r.random_forest_pred - r.us_aqi) < 1e-9 for r in known)
+
+
+def test_subtrees_meet_only_the_rows_of_their_node(spark):
+    """No task gets the pieces of a whole group that has large nodes, and trees are averaged as in the walk."""
+    df = spark.createDataFrame(training(300))
+    pieces = forest.fit_forest(df, NAMES, series=SERIES, trees=3, depth=12, small=40)
+    held = {"a": forest.Pieces(), "b": forest.Pieces()}
+    for r in pieces.collect():
+        held[r.city].add(r.asDict())
+    scored = forest.score_forest(df, pieces, NAMES, SERIES).collect()
+    assert len(scored) == df.count()
+    for city, own in held.items():
+        rows = [r for r in scored if r.city == city]
+        want = own.predicted(np.array([[r[c] for c in NAMES] for r in rows]))
+        np.testing.assert_allclose([r.random_forest_pred for r in rows], want)
