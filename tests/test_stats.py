@@ -142,3 +142,20 @@ def test_wide_bands_are_ranked_range_by_range(spark, kind):
     got = {(r.city, r.q): r.value for r in quantiles(df, ["x"], ["city"], (0.0, 0.1, 0.5, 0.999, 1.0), accuracy=20).collect()}
     for q in (0.0, 0.1, 0.5, 0.999, 1.0):
         assert got["a", q] == pytest.approx(np.quantile(values, q), rel=1e-15, abs=1e-15) and got["b", q] == 1.0
+
+
+def test_only_large_groups_get_bands(spark, monkeypatch):
+    import hazecast.operators.quantiles as module
+
+    seen, real = [], module._bands
+    monkeypatch.setattr(module, "_bands", lambda *args: seen.append(real(*args)) or seen[-1])
+    rows = [(f"S{k}", float(v)) for k in range(30) for v in range(k % 4 + 1)] + [("hub", float(v * v)) for v in range(101)]
+    rows += [("S1", None), ("empty", None), (None, 5.0)]
+    df = spark.createDataFrame(rows, "city string, x double")
+    got = {(r.city, r.q): r.value for r in module.quantiles(df, ["x"], ["city"], (0.25, 0.5), accuracy=20).collect()}
+    assert [r.city for bands in seen for r in bands.collect()] == ["hub"]
+    own = {}
+    for city, value in rows:
+        if city is not None and value is not None:
+            own.setdefault(city, []).append(value)
+    assert got == {(c, q): np.quantile(v, q) for c, v in own.items() for q in (0.25, 0.5)}
