@@ -162,3 +162,81 @@ def test_subtrees_meet_only_the_rows_of_their_node(spark):
         rows = [r for r in scored if r.city == city]
         want = own.predicted(np.array([[r[c] for c in NAMES] for r in rows]))
         np.testing.assert_allclose([r.random_forest_pred for r in rows], want)
+
+
+def test_trees_grow_side_by_side_as_alone():
+    rng = np.random.default_rng(5)
+    for weights in (1, 3):
+        sizes, depths = rng.integers(1, 90, 60), rng.integers(0, 9, 60)
+        x = np.column_stack((rng.normal(size=sizes.sum()), rng.integers(0, 6, sizes.sum()), rng.integers(0, 30, sizes.sum())))
+        y, w = rng.integers(0, 9, len(x)).astype(float), rng.integers(1, weights + 1, len(x)).astype(float)
+        begins, found = forest.grown_together(x, y, w, sizes, depths)
+        stop = np.cumsum(sizes)
+        for k, (a, b, depth) in enumerate(zip(stop - sizes, stop, depths, strict=True)):
+            piece = tuple(c[begins[k] : begins[k + 1]] for c in found)
+            alone = forest.grown(x[a:b], y[a:b], w[a:b], depth)
+            assert all(np.array_equal(one, other) for one, other in zip(piece, alone, strict=True))
+            tree = slow_tree(x[a:b], y[a:b], w[a:b], depth)
+            if depth < 3:  # deeper, equally good splits may differ
+                np.testing.assert_allclose(forest.walked(piece, x[a:b]).mean(), np.mean([follow(tree, r) for r in x[a:b]]))
+
+
+def whole_numbers(n):
+    """Sums of these don't depend on their order."""
+    frame = training(n)
+    return frame.assign(us_aqi=(frame.us_aqi * 8).round())
+
+
+@pytest.mark.parametrize("bootstrap", [False, True])
+def test_nodes_split_over_all_tasks_as_in_one(spark, bootstrap):
+    df = spark.createDataFrame(whole_numbers(500))
+    settings = {"series": SERIES, "trees": 2, "depth": 9, "small": 25, "bootstrap": bootstrap}
+    one = forest.fit_forest(df, NAMES, **settings)
+    for middle in (60, 200):
+        many = forest.fit_forest(df.repartition(5), NAMES, middle=middle, **settings)
+        found = [{(r.city, r.tree, r.node): r for r in pieces.collect()} for pieces in (one, many)]
+        assert found[0].keys() == found[1].keys() and sum(r.left is None for r in found[0].values()) > 20
+        for key, a in found[0].items():
+            b = found[1][key]
+            assert (a.feature, a.left) == (b.feature, b.left)
+            np.testing.assert_allclose(a.threshold + a.value, b.threshold + b.value)
+
+
+def test_a_group_of_many_levels_takes_no_job_for_each(spark):
+    df = spark.createDataFrame(whole_numbers(400)).cache()
+    tracker, jobs = spark.sparkContext.statusTracker(), []
+    for depth in (2, 10):
+        group = f"levels {depth}"
+        spark.sparkContext.setJobGroup(group, group)
+        pieces = forest.fit_forest(df, NAMES, series=SERIES, trees=1, depth=depth, small=20, bootstrap=False)
+        jobs.append(len(tracker.getJobIdsForGroup(group)))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert pieces.where("left IS NULL").selectExpr("max(node)").first()[0] >= 16  # large nodes four levels down
+    assert jobs[0] == jobs[1]
+
+
+def test_a_large_group_that_is_one_leaf(spark):
+    """Without depth, and over all tasks: nothing of the group is gathered."""
+    df = spark.createDataFrame(whole_numbers(200))
+    for depth, target in ((0, "us_aqi"), (5, "f9")):
+        flat = df.withColumn("f9", F.lit(2.0))
+        pieces = forest.fit_forest(flat, NAMES, target, SERIES, trees=2, depth=depth, small=10, middle=30, bootstrap=False)
+        assert {(r.city, r.tree, r.node, *r.feature, *r.left) for r in pieces.collect()} == {(c, t, 1, -1, -1) for c in "ab" for t in (0, 1)}
+        scored = forest.score_forest(flat, pieces, NAMES, SERIES)
+        wrong = scored.groupBy("city").agg((F.max("random_forest_pred") - F.avg(target)).alias("d"), F.countDistinct("random_forest_pred").alias("n"))
+        assert all(abs(r.d) < 1e-9 and r.n == 1 for r in wrong.collect())
+
+
+def test_groups_with_and_without_large_nodes_side_by_side(spark):
+    """One tree: rows of large groups go to their nodes, small groups, strangers and incomplete rows stay whole."""
+    frame = whole_numbers(300)
+    few = frame[frame.city == "a"].head(15).assign(city="few")
+    df = spark.createDataFrame(pd.concat([frame, few]))
+    pieces = forest.fit_forest(df, NAMES, series=SERIES, trees=1, depth=60, small=30, middle=100, bootstrap=False)
+    assert {r.city for r in pieces.where("left IS NULL").collect()} == {"a", "b"}
+    odd = df.limit(1).withColumn("city", F.lit("elsewhere")).union(df.limit(1).withColumn("city", F.lit(None).cast("string")))
+    odd = odd.union(df.where("city = 'a'").limit(3).withColumn("f0", F.lit(None).cast("double")).select(*df.columns))
+    scored = forest.score_forest(df.union(df).union(odd), pieces, NAMES, SERIES).collect()
+    assert len(scored) == 2 * df.count() + 5
+    known = [r for r in scored if r.random_forest_pred is not None]
+    assert len(known) == 2 * df.count() and all(abs(r.random_forest_pred - r.us_aqi) < 1e-9 for r in known)
